@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.base import table
@@ -183,22 +185,20 @@ SELECT user_id AS key, event_id AS seq, ts, event_type,
 FROM {events}
 """
 
-# Requests (purchases) with the requester's next event as the decision.
+# A third of all calls come from one key.
+HOT_CALLS = CALLS.replace("user_id AS key", "CASE event_id % 3 WHEN 0 THEN CAST(-1 AS BIGINT) ELSE user_id END AS key")
+
+# Requests (purchases), some with a decision a while later.
 APPROVALS = """
-SELECT CAST(event_id AS STRING) AS approval_id, user_id AS requester, created_at, severity,
-  CASE WHEN next_id IS NULL OR event_id % 5 = 0 THEN NULL WHEN next_id % 2 = 0 THEN 'approved' ELSE 'rejected' END AS decision,
-  CASE WHEN next_id IS NULL OR event_id % 5 = 0 THEN NULL ELSE next_ts END AS decided_at,
-  CASE WHEN next_id IS NULL OR event_id % 5 = 0 THEN NULL WHEN event_id % 4 = 0 THEN user_id ELSE user_id + 1 END AS decider,
+SELECT CAST(event_id AS STRING) AS approval_id, user_id AS requester, ts AS created_at,
+  CASE event_id % 4 WHEN 0 THEN 'low' WHEN 1 THEN 'high' WHEN 2 THEN 'medium' ELSE 'critical' END AS severity,
+  CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 < 4 THEN 'approved' ELSE 'rejected' END AS decision,
+  CASE WHEN event_id % 5 = 0 THEN NULL ELSE ts + make_dt_interval(0, 0, 0, event_id * 37 % 2400) END AS decided_at,
+  CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 9 = 0 THEN user_id ELSE user_id + 1 END AS decider,
   CASE event_id % 3 WHEN 0 THEN 'dashboard' ELSE 'agent' END AS decided_via,
   CASE event_id % 6 WHEN 0 THEN 'too risky' ELSE '' END AS justification,
-  CASE event_id % 17 WHEN 0 THEN true ELSE false END AS cancelled
-FROM (
-  SELECT event_id, user_id, event_type, ts AS created_at,
-    CASE event_id % 4 WHEN 0 THEN 'low' WHEN 1 THEN 'high' WHEN 2 THEN 'medium' ELSE 'critical' END AS severity,
-    lead(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_id,
-    lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
-  FROM {events}
-) WHERE event_type = 'purchase'
+  CASE event_id % 17 WHEN 0 THEN true ELSE false END AS cancelled, event_id, value
+FROM {events} WHERE event_type = 'purchase'
 """
 
 BYPASSES = """
@@ -240,4 +240,5 @@ def duck_view(name: str, view: str) -> str:
     sql = view.format(**{n: n for n in tables_of(view)})
     sql = sql.replace("AS STRING)", "AS VARCHAR)").replace("THEN array(", "THEN list_value(")
     sql = sql.replace("ELSE array(", "ELSE list_value(")
+    sql = re.sub(r"make_dt_interval\(0, 0, 0, ([^)]*)\)", r"to_seconds(\1)", sql)
     return f"{name} AS ({sql})"
