@@ -31,8 +31,8 @@ def stream_requests(spark: SparkSession, tool: str, path: str, format: str = "js
     return spark.readStream.schema(SCHEMAS[tool]).format(format).load(path)
 
 
-def conform(df: DataFrame, tool: str) -> DataFrame:
-    """The request columns of a tool, in order and typed; absent ones become null."""
+def conform(df: DataFrame, tool: str, *carry: str) -> DataFrame:
+    """The request columns of a tool, in order and typed, and ``carry``; absent ones become null."""
     from pyspark.sql.types import StructType
 
     fields = StructType.fromDDL(SCHEMAS[tool])
@@ -40,5 +40,6 @@ def conform(df: DataFrame, tool: str) -> DataFrame:
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in fields
-        ]
+        ],
+        *carry,
     )
