@@ -75,7 +75,7 @@ def b1(spark, d):
 
 
 _pack("b6_sql_rules", SQL_TEXT, "query", packs.SQL,
-      lambda: {r.rule_id: F.col("allow_destructive") for r in packs.SQL_DESTRUCTIVE},
+      lambda: {r.rule_id: "allow_destructive" for r in packs.SQL_DESTRUCTIVE},
       {r.rule_id: "NOT coalesce(allow_destructive, false)" for r in packs.SQL_DESTRUCTIVE})
 _pack("b7_command_rules", COMMANDS, "command", packs.COMMAND)
 _pack("b8_path_rules", PATHS, "path", packs.PATH)
@@ -95,8 +95,8 @@ def b7_chain(spark, d):
 
 
 ODD = """
-SELECT doc_id AS row_id, CASE doc_id % 6 WHEN 0 THEN text || chr(8203) || 'hid' || chr(8205) || 'den' WHEN 1 THEN 'p' || chr(1072) || 'ssword ' || text
-  WHEN 2 THEN text || chr(8238) || 'gpj.exe' WHEN 3 THEN text || chr(7) || chr(1) WHEN 4 THEN chr(1040) || chr(1042) || ' ' || text ELSE text END AS text FROM {documents}
+SELECT doc_id AS row_id, CASE doc_id % 6 WHEN 0 THEN text || '\u200b' || 'hid' || '\u200d' || 'den' WHEN 1 THEN 'p\u0430ssword ' || text
+  WHEN 2 THEN text || '\u202e' || 'gpj.exe' WHEN 3 THEN text || chr(7) || chr(1) WHEN 4 THEN '\u0410\u0412 ' || text ELSE text END AS text FROM {documents}
 """
 
 

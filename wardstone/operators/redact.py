@@ -14,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardstone.functions.text import SPACE, contains_any
+from wardstone.functions.text import SPACE
 from wardstone.sources.catalogue import Detector, builtin_catalogue
+from wardstone.sources.tables import sql_literal
 
 SPAN = (
     "struct<start:int,priority:int,end:int,original:string,type:string,prefix:string>"
@@ -59,41 +60,18 @@ _NEEDS_DIGIT = {
 }
 
 
-def _gate(d: Detector, text: Column, low: Column, digit: Column) -> Column | None:
+def _gate(d: Detector, text: str, low: str, digit: str) -> str | None:
+    """Condition, as SQL, under which a built-in detector is worth running."""
     if not d.builtin or d.name not in _GATES:
         return None
     words, low_words, cheap = _GATES[d.name]
-    gate = digit if d.name in _NEEDS_DIGIT else F.lit(True)
-    if words:
-        gate = gate & contains_any(text, words)
-    if low_words:
-        gate = gate & contains_any(low, low_words)
+    tests = [digit] if d.name in _NEEDS_DIGIT else []
+    for column, some in ((text, words), (low, low_words)):
+        if some:
+            tests.append("(" + " OR ".join(f"contains({column}, {sql_literal(w)})" for w in some) + ")")
     if cheap:
-        gate = gate & text.rlike(cheap)
-    return gate
-
-
-def _spans(text: Column, matches: Column, d: Detector) -> Column:
-    """Matches of one detector as spans; positions from the gaps between them."""
-    gaps = F.slice(F.split(text, d.pattern, -1), 1, F.size(matches))
-    pieces = F.zip_with(gaps, matches, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("hit")))
-
-    def place(acc: Column, p: Column) -> Column:
-        start = acc["pos"] + p["gap"]
-        end = start + F.length(p["hit"])
-        span = F.struct(
-            start.alias("start"),
-            F.lit(d.priority).alias("priority"),
-            end.alias("end"),
-            p["hit"].alias("original"),
-            F.lit(d.name).alias("type"),
-            F.lit(d.prefix).alias("prefix"),
-        )
-        return F.struct(end.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("pos"), _empty(SPAN).alias("out"))
-    placed = F.aggregate(pieces, zero, place, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, placed).otherwise(_empty(SPAN))
+        tests.append(f"{text} RLIKE {sql_literal(cheap)}")
+    return " AND ".join(tests)
 
 
 def find_spans(
@@ -102,21 +80,35 @@ def find_spans(
     """Every hit of every detector on the original text, ordered by start, then priority."""
     catalogue = builtin_catalogue() if catalogue is None else catalogue
     keep = df.columns
-    p = f"__{out_col}_"
-    text = F.col(text_col)
-    no_hits = _empty("string")
-    df = df.withColumn(p + "low", F.lower(text)).withColumn(p + "digit", text.rlike("[0-9]"))
+    text, low, digit = f"`{text_col}`", f"`__{out_col}_low`", f"`__{out_col}_digit`"
+    df = df.withColumns({low.strip("`"): F.lower(text_col), digit.strip("`"): F.col(text_col).rlike("[0-9]")})
     found = []
     for d in catalogue:
-        gate = _gate(d, text, F.col(p + "low"), F.col(p + "digit"))
-        hits = F.regexp_extract_all(text, F.lit(d.pattern), F.lit(0))
-        hits = F.coalesce(hits, no_hits) if gate is None else F.when(gate, hits).otherwise(no_hits)
-        found.append(hits.alias(f"{p}m{d.priority}"))
+        hits = f"regexp_extract_all({text}, {sql_literal(d.pattern)}, 0)"
+        gate = _gate(d, text, low, digit)
+        if gate is not None:
+            hits = f"if({gate}, {hits}, NULL)"
+        found.append(F.expr(f"coalesce({hits}, array())").alias(f"__{out_col}_m{d.priority}"))
     df = computed(df, keep, *found)
-    total = sum((F.size(f"{p}m{d.priority}") for d in catalogue), F.lit(0))
-    spans = F.concat(*[_spans(text, F.col(f"{p}m{d.priority}"), d) for d in catalogue])
-    spans = F.when(total > 0, F.array_sort(spans)).otherwise(_empty(SPAN))
-    return computed(df, keep, spans.alias(out_col))
+    # The detectors that hit, each with its matches; positions follow from the gaps between them.
+    groups = ", ".join(
+        f"struct(`__{out_col}_m{d.priority}` AS hits, {d.priority} AS priority, {sql_literal(d.name)} AS type, "
+        f"{sql_literal(d.prefix)} AS prefix, {sql_literal(d.pattern)} AS pattern)"
+        for d in catalogue
+    )
+    spans = f"""
+        array_sort(flatten(transform(filter(array({groups}), g -> size(g.hits) > 0), g ->
+          aggregate(
+            zip_with(slice(split({text}, g.pattern, -1), 1, size(g.hits)), g.hits,
+              (gap, hit) -> struct(length(gap) AS gap, hit AS hit)),
+            struct(0 AS pos, CAST(array() AS array<{SPAN}>) AS out),
+            (acc, p) -> struct(
+              acc.pos + p.gap + length(p.hit) AS pos,
+              concat(acc.out, array(struct(
+                acc.pos + p.gap AS start, g.priority AS priority, acc.pos + p.gap + length(p.hit) AS end,
+                p.hit AS original, g.type AS type, g.prefix AS prefix))) AS out),
+            acc -> acc.out))))"""
+    return computed(df, keep, F.expr(spans).cast(f"array<{SPAN}>").alias(out_col))
 
 
 def resolve_overlaps(spans: Column) -> Column:

@@ -8,45 +8,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstone.functions.mapping import severity_rank
-from wardstone.functions.text import contains_any, java_pattern
-from wardstone.operators.findings import FINDINGS, finding, no_findings
+from wardstone.functions.text import java_pattern
+from wardstone.operators.findings import FINDING, FINDINGS, finding, no_findings
 from wardstone.operators.redact import computed
 from wardstone.sources import rules as packs
 from wardstone.sources.rules import Rule
-from wardstone.sources.tables import bounded_rows, fixed_table
+from wardstone.sources.tables import bounded_rows, fixed_table, sql_literal
 
 
-def rule_finding(rule: Rule, location: str | None = None) -> Column:
-    return finding(
-        rule.threat_type, rule.severity, rule.confidence, rule.act, rule.layer, f"Matched {rule.rule_id}",
+def _rule_sql(rule: Rule, location: str | None = None) -> str:
+    values = [
+        rule.threat_type, rule.severity, float(rule.confidence), rule.act, rule.layer, f"Matched {rule.rule_id}",
         rule.rule_id, f"Rule {rule.rule_id}", rule.rule_id, location,
-    )
+    ]
+    return f"CAST(struct({', '.join(sql_literal(v) for v in values)}) AS {FINDING})"
+
+
+def rule_finding(rule: Rule, location: str | None = None) -> Column:
+    return F.expr(_rule_sql(rule, location))
 
 
-def rule_test(rule: Rule, text: Column, low: Column) -> Column:
+def _test_sql(rule: Rule, text: str, low: str) -> str:
     """Whether a rule matches; its words are tried first, on the lower-cased text."""
-    test = text.rlike(java_pattern(rule.pattern, True))
+    tests = [f"{text} RLIKE {sql_literal(java_pattern(rule.pattern, True))}"]
     if rule.words:
-        test = contains_any(low, list(rule.words)) & test
+        tests.insert(0, "(" + " OR ".join(f"contains({low}, {sql_literal(w)})" for w in rule.words) + ")")
     if rule.unless:
-        test = test & ~text.rlike(java_pattern(rule.unless, True))
-    return test
+        tests.append(f"NOT {text} RLIKE {sql_literal(java_pattern(rule.unless, True))}")
+    return " AND ".join(tests)
 
 
 def apply_rules(
     df: DataFrame, text_col: str, rules: list[Rule], out_col: str = "findings",
-    location: str | None = None, off: dict[str, Column] | None = None,
+    location: str | None = None, off: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Adds the findings of a text in rule order; ``off`` maps rule ids to a condition that mutes them."""
+    """Adds the findings of a text in rule order; ``off`` maps rule ids to a flag column that mutes them."""
     keep = df.columns
-    low = f"__{out_col}_low"
-    df = df.withColumn(low, F.lower(F.col(text_col)))
+    text, low = f"`{text_col}`", f"`__{out_col}_low`"
+    df = df.withColumn(low.strip("`"), F.lower(F.col(text_col)))
     hits = []
     for rule in rules:
-        test = rule_test(rule, F.col(text_col), F.col(low))
+        test = _test_sql(rule, text, low)
         if off and rule.rule_id in off:
-            test = test & ~F.coalesce(off[rule.rule_id], F.lit(False))
-        hits.append(F.when(test, rule_finding(rule, location)))
+            test = f"NOT coalesce(`{off[rule.rule_id]}`, false) AND {test}"
+        hits.append(F.expr(f"if({test}, {_rule_sql(rule, location)}, NULL)"))
     return computed(df, keep, F.coalesce(F.array_compact(F.array(*hits)), no_findings()).alias(out_col))
 
 

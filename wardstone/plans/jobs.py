@@ -35,20 +35,29 @@ def _guarded(size_error: Column, *columns: str) -> dict[str, Column]:
     return {f"__{c}": F.when(size_error.isNull(), F.col(c)) for c in columns}
 
 
-def _scan_verdict(df: DataFrame, tool: str, found: str, *carry: str) -> DataFrame:
-    """Verdict of a prompt or response from all its findings."""
+RESULT = [
+    "request_id", "ts", "tool", "safe", "action", "confidence", "primary_type", "primary_policy", "severity",
+    "approval", "session_risk_score", "correlation_patterns",
+]
+
+
+def _finish(df: DataFrame, internal: bool, *carry: str) -> DataFrame:
+    """The verdict, or the internal result it would be built from."""
+    return df.select("row_id", *RESULT) if internal else verdict.build_verdict(df, "row_id", *carry)
+
+
+def _scan_result(df: DataFrame, tool: str, found: str) -> DataFrame:
+    """Internal result of a prompt or response from all its findings."""
     f = F.col(found)
     df = verdict.internal_result(
         df, tool, safe=F.size(f) == 0, action=findings.recommended_action(f), confidence=findings.max_confidence(f),
         **verdict.result_columns(f),
     )
-    if tool == "scan_response":
-        df = verdict.response_policy(df)
-    return verdict.build_verdict(df, *carry)
+    return verdict.response_policy(df) if tool == "scan_response" else df
 
 
-def _special_verdict(df: DataFrame, tool: str, found: str, message: str, *carry: str, confidence=None) -> DataFrame:
-    """Verdict of a specialised scan, whose answer is its worst finding."""
+def _special_result(df: DataFrame, tool: str, found: str, message: str, confidence=None) -> DataFrame:
+    """Internal result of a specialised scan, whose answer is its worst finding."""
     df = screen.answer_of(df, found)
     issue = findings.specialized_finding(
         F.col("safe"), F.col("threat_type"), F.col("severity"), F.col("reason"), message
@@ -58,10 +67,12 @@ def _special_verdict(df: DataFrame, tool: str, found: str, message: str, *carry:
     if confidence is not None:
         columns["confidence"] = confidence(F.col("confidence"))
     df = df.withColumns(columns).withColumns(verdict.result_columns(F.col("findings")))
-    return verdict.build_verdict(verdict.internal_result(df, tool), *carry)
+    return verdict.internal_result(df, tool)
 
 
-def scan_prompts(req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None) -> DataFrame:
+def scan_prompts(
+    req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None, internal: bool = False
+) -> DataFrame:
     """Verdict per prompt, with the redacted content, its tokens and a summary where asked for."""
     rules = packs.PROMPT if rules is None else rules
     df = _start(req)
@@ -74,15 +85,15 @@ def scan_prompts(req: DataFrame, catalogue: Catalogue = None, rules: list[Rule]
     df = df.withColumn("__found", F.concat(only(size), "__f1", "__f2"))
     df = df.withColumn("redacted_content", F.when(F.col("pii_detected"), F.col("redacted_content")))
     df = df.withColumn("redaction_summary", redact.summary_map(F.col("redactions")))
-    return _scan_verdict(
-        df, "scan_prompt", "__found", "row_id", "pii_detected", "redacted_content", "redaction_count", "redactions",
-        "redaction_summary",
+    return _finish(
+        _scan_result(df, "scan_prompt", "__found"), internal, "pii_detected", "redacted_content", "redaction_count",
+        "redactions", "redaction_summary",
     )
 
 
 def scan_responses(
     req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None,
-    least_overlap: float = 0.02, tone_limit: float = 0.02, leak_limit: float = 0.3,
+    least_overlap: float = 0.02, tone_limit: float = 0.02, leak_limit: float = 0.3, internal: bool = False,
 ) -> DataFrame:
     """Verdict per response; those that pass are rehydrated from their tokens.
 
@@ -131,23 +142,24 @@ def scan_responses(
             findings.finding("system_prompt_leak", "critical", 0.9, "block", "L8", "Repeats the system prompt", "prompt-leak", "Response leak"),
         )
     df = df.withColumn("__found", F.concat(only(size), F.col("__f1"), only(leaked, off_topic, *drift, prompt_leak)))
-    out = _scan_verdict(df, "scan_response", "__found", "row_id", "response", "__tokens")
+    out = _finish(_scan_result(df, "scan_response", "__found"), internal, "response", "__tokens")
+    if internal:
+        return out
     restored = redact.rehydrate(F.col("response"), F.col("__tokens"))
     passes = ~F.col("blocked") & (F.size("__tokens") > 0)
     return out.withColumn("rehydrated_response", F.when(passes, restored)).drop("response", "__tokens")
 
 
-def scan_sql(req: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+def scan_sql(req: DataFrame, rules: list[Rule] | None = None, internal: bool = False) -> DataFrame:
     """Verdict per SQL text; destructive statements pass where they are allowed."""
     rules = packs.SQL if rules is None else rules
-    off = {r.rule_id: F.col("allow_destructive") for r in packs.SQL_DESTRUCTIVE}
+    off = {r.rule_id: "allow_destructive" for r in packs.SQL_DESTRUCTIVE}
     df = screen.apply_rules(_start(req), "query", rules, "__found", off=off)
     df = df.withColumns(
         {"statement_kind": mapping.statement_kind("query"), "query_length": validate.text_size(F.col("query"))}
     )
-    return _special_verdict(
-        df, "scan_sql_query", "__found", "SQL security issue detected", "row_id", "statement_kind", "query_length"
-    )
+    df = _special_result(df, "scan_sql_query", "__found", "SQL security issue detected")
+    return _finish(df, internal, "statement_kind", "query_length")
 
 
 def pipe_chain(command: Column, piped_from: Column) -> Column:
@@ -159,21 +171,20 @@ def pipe_chain(command: Column, piped_from: Column) -> Column:
     return F.coalesce(F.array_min(reads) < F.array_max(sends), F.lit(False))
 
 
-def scan_commands(req: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+def scan_commands(req: DataFrame, rules: list[Rule] | None = None, internal: bool = False) -> DataFrame:
     """Verdict per shell command, pipe chains included."""
     rules = packs.COMMAND if rules is None else rules
     df = screen.apply_rules(_start(req), "command", rules, "__rules")
     chain = F.when(pipe_chain(F.col("command"), F.col("piped_from")), screen.rule_finding(packs.PIPE_RULE))
     df = df.withColumn("__found", F.concat(F.col("__rules"), only(chain)))
     df = df.withColumn("command_length", validate.text_size(F.col("command")))
-    return _special_verdict(
-        df, "scan_command", "__found", "Command security issue detected", "row_id", "command_length"
-    )
+    df = _special_result(df, "scan_command", "__found", "Command security issue detected")
+    return _finish(df, internal, "command_length")
 
 
 def scan_file_writes(
     req: DataFrame, catalogue: Catalogue = None, path_rules: list[Rule] | None = None,
-    content_rules: list[Rule] | None = None,
+    content_rules: list[Rule] | None = None, internal: bool = False,
 ) -> DataFrame:
     """Verdict per file write from its path and its content."""
     path_rules = packs.PATH if path_rules is None else path_rules
@@ -201,12 +212,13 @@ def scan_file_writes(
         }
     )
     df = df.withColumns(verdict.result_columns(F.col("findings")))
-    return verdict.build_verdict(
-        verdict.internal_result(df, "scan_file_write"), "row_id", "file_extension", "path_length", "content_length"
-    )
+    df = verdict.internal_result(df, "scan_file_write")
+    return _finish(df, internal, "file_extension", "path_length", "content_length")
 
 
-def scan_searches(req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None) -> DataFrame:
+def scan_searches(
+    req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None, internal: bool = False
+) -> DataFrame:
     """Verdict per web search from its query and its target domains."""
     rules = packs.SEARCH if rules is None else rules
     df = screen.apply_rules(_start(req), "query", rules, "__q")
@@ -224,22 +236,22 @@ def scan_searches(req: DataFrame, catalogue: Catalogue = None, rules: list[Rule]
             **verdict.result_columns(F.col("findings")),
         }
     )
-    return verdict.build_verdict(
-        verdict.internal_result(df, "scan_web_search"), "row_id", "query_length", "domains_checked"
-    )
+    return _finish(verdict.internal_result(df, "scan_web_search"), internal, "query_length", "domains_checked")
 
 
-def scan_messages(req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None) -> DataFrame:
+def scan_messages(
+    req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None, internal: bool = False
+) -> DataFrame:
     """Verdict per message between agents."""
     rules = packs.MESSAGE if rules is None else rules
     df = screen.apply_rules(_start(req), "message", rules, "__rules")
     df = redact.find_spans(df, "message", "__spans", catalogue)
     df = df.withColumn("__found", F.concat(F.col("__rules"), screen.pii_findings(F.col("__spans"))))
     df = df.withColumn("message_length", validate.text_size(F.col("message")))
-    return _special_verdict(
-        df, "scan_a2a_message", "__found", "A2A message security issue detected", "row_id", "message_length",
-        confidence=mapping.confidence_or_half,
+    df = _special_result(
+        df, "scan_a2a_message", "__found", "A2A message security issue detected", mapping.confidence_or_half
     )
+    return _finish(df, internal, "message_length")
 
 
 CARD = (
@@ -248,7 +260,9 @@ CARD = (
 )
 
 
-def scan_agent_cards(req: DataFrame, rules: list[Rule] | None = None, url_rules: list[Rule] | None = None) -> DataFrame:
+def scan_agent_cards(
+    req: DataFrame, rules: list[Rule] | None = None, url_rules: list[Rule] | None = None, internal: bool = False
+) -> DataFrame:
     """Verdict per agent card; a card that is not JSON fails closed."""
     rules = packs.CARD_TEXT if rules is None else rules
     url_rules = packs.CARD_URL if url_rules is None else url_rules
@@ -272,10 +286,10 @@ def scan_agent_cards(req: DataFrame, rules: list[Rule] | None = None, url_rules:
     host = domains.domain_findings(F.col("__hosts"))
     df = df.withColumn("__found", F.concat(only(broken), F.col("__f1"), F.col("__f2"), host))
     df = df.withColumn("card_length", validate.text_size(F.col("agent_card")))
-    return _special_verdict(
-        df, "scan_agent_card", "__found", "Agent card security issue detected", "row_id", "card_length",
-        confidence=mapping.confidence_or_half,
+    df = _special_result(
+        df, "scan_agent_card", "__found", "Agent card security issue detected", mapping.confidence_or_half
     )
+    return _finish(df, internal, "card_length")
 
 
 def approval_status(requests: DataFrame, decisions: DataFrame, as_of: str) -> DataFrame:
@@ -322,9 +336,10 @@ def scan(req: DataFrame, enabled: list[str] | None = None) -> DataFrame:
     Requests for tools that are not scans (approvals, reports, intelligence, resets) are checked
     here and answered by their own jobs; they come back with a null ``blocked``.
     """
+    given = req.columns
     df = validate.route(req, "scan_type")
     wanted = F.lit(None).cast("array<string>")
-    if "enabled_tools" in req.columns:
+    if "enabled_tools" in given:
         wanted = F.col("enabled_tools")
     on = F.array_contains(validate.enabled_tools(wanted, enabled), F.col("tool"))
     not_on = F.concat(F.lit("Tool '"), F.col("tool"), F.lit("' is not enabled"))
@@ -332,31 +347,30 @@ def scan(req: DataFrame, enabled: list[str] | None = None) -> DataFrame:
 
     def field(tool: str) -> dict[str, Column]:
         names = validate.BYPASS_FIELDS if tool == "report_bypass" else validate.REQUIRED[tool]
-        return {n: F.col(n) if n in req.columns else F.lit(None).cast("string") for n in names}
+        return {n: F.col(n) if n in given else F.lit(None).cast("string") for n in names}
 
     incomplete = F.lit(None).cast("string")
     for tool in fixed.TOOLS:
         incomplete = F.when(F.col("tool") == tool, validate.required_error(tool, field(tool))).otherwise(incomplete)
-    df = df.withColumn("error", F.coalesce("error", incomplete))
+    # Behind a generator, so that the filters below test two columns and not all of the above.
+    error = F.coalesce("error", incomplete)
+    df = redact.computed(df, given, F.col("tool"), error.alias("error"))
 
-    empty = {c: F.lit(None).cast("string") for c in VERDICT_COLUMNS}
-    failed = df.filter(F.col("error").isNotNull() | ~F.col("tool").isin(list(SCANS)))
-    is_error = F.col("error").isNotNull()
-    parts = failed.select(
-        *[
-            {
-                "row_id": F.col("row_id"), "tool": F.col("tool"), "error": F.col("error"),
-                "blocked": F.when(is_error, True), "action": F.when(is_error, "block"),
-                "approval_context": F.lit(None), "audit": F.lit(None),
-            }.get(c, empty[c]).alias(c)
-            for c in VERDICT_COLUMNS
-        ]
-    ).drop("approval_context", "audit")
+    # One verdict step for the internal results of all scans.
+    results = None
     for tool, job in SCANS.items():
         mine = df.filter(F.col("error").isNull() & (F.col("tool") == tool))
-        out = job(conform(mine, tool, *(["ts"] if "ts" in req.columns else []))).withColumn("tool", F.lit(tool)).withColumn("error", F.lit(None).cast("string"))
-        parts = parts.unionByName(out.select(*VERDICT_COLUMNS), allowMissingColumns=True)
-    return parts
+        mine = conform(mine, tool, *(["ts"] if "ts" in given else []))
+        part = job(mine, internal=True)
+        results = part if results is None else results.unionByName(part)
+    verdicts = verdict.build_verdict(results, "row_id", "tool").withColumn("error", F.lit(None).cast("string"))
+
+    not_scanned = df.filter(F.col("error").isNotNull() | ~F.col("tool").isin(list(SCANS)))
+    is_error = F.col("error").isNotNull()
+    others = not_scanned.select(
+        "row_id", "tool", "error", F.when(is_error, True).alias("blocked"), F.when(is_error, "block").alias("action")
+    )
+    return verdicts.select(*VERDICT_COLUMNS).unionByName(others, allowMissingColumns=True)
 
 
 __all__ = [

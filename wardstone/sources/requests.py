@@ -35,10 +35,10 @@ def conform(df: DataFrame, tool: str, *carry: str) -> DataFrame:
     """The request columns of a tool, in order and typed, and ``carry``; absent ones become null."""
     from pyspark.sql.types import StructType
 
-    fields = StructType.fromDDL(SCHEMAS[tool])
+    fields, have = StructType.fromDDL(SCHEMAS[tool]), set(df.columns)
     return df.select(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in fields
         ],
         *carry,

@@ -25,7 +25,8 @@ def read_table(spark: SparkSession, directory: str, name: str, *columns: str) ->
     return df.select(*columns) if columns else df
 
 
-def _literal(value) -> str:
+def sql_literal(value) -> str:
+    """A Python value as Spark SQL text."""
     if value is None:
         return "NULL"
     if isinstance(value, bool):
@@ -33,7 +34,7 @@ def _literal(value) -> str:
     if isinstance(value, (int, float)):
         return repr(value) + ("D" if isinstance(value, float) else "")
     if isinstance(value, (list, tuple)):
-        inner = ", ".join(_literal(v) for v in value)
+        inner = ", ".join(sql_literal(v) for v in value)
         return f"array({inner})" if value else "CAST(array() AS array<string>)"
     escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -41,7 +42,7 @@ def _literal(value) -> str:
 
 def fixed_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:
     """A table of literals, which the optimizer sees as a local relation of known size."""
-    body = ", ".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in rows)
+    body = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
     names = ", ".join(columns)
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({names})")
 
