@@ -60,6 +60,33 @@ def java_pattern(
     return ("(?i)" if ignore_case else "") + body
 
 
+def leads_with_word(pattern: str) -> bool:
+    """Whether a pattern is ``\\b`` and then always a letter, digit or underscore."""
+    if not pattern.startswith(r"\b"):
+        return False
+    rest = pattern[2:]
+    if not rest.startswith("(?:"):
+        return re.match(r"[A-Za-z0-9_](?![?*{])", rest) is not None
+    depth, starts, i = 0, [], 0
+    while i < len(rest):
+        if rest[i] == "\\":
+            i += 2
+            continue
+        if rest[i] == "(":
+            depth += 1
+            if depth == 1:
+                starts.append(i + 3)
+        elif rest[i] == ")":
+            depth -= 1
+            if depth == 0:
+                break
+        elif rest[i] == "|" and depth == 1:
+            starts.append(i + 1)
+        i += 1
+    required = rest[i + 1 : i + 2] not in ("?", "*", "{")
+    return required and all(re.match(r"[A-Za-z0-9_](?![?*{])", rest[j:]) for j in starts)
+
+
 def missing(col: Column) -> Column:
     """True for null and for the empty string."""
     return F.coalesce(col, F.lit("")) == ""

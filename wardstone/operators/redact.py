@@ -23,6 +23,9 @@ SPAN = (
 )
 ENTRY = "struct<token:string,original:string,type:string,position:int>"
 MASK = "[REDACTED]"
+# Stands for a match while gaps are measured: splitting at one literal character compiles no
+# pattern per row. It is no character of any text; a text that has it anyway is split by pattern.
+MARK = "\uffff"
 
 
 def computed(df: DataFrame, keep: list[str], *columns: Column) -> DataFrame:
@@ -93,13 +96,14 @@ def find_spans(
     # The detectors that hit, each with its matches; positions follow from the gaps between them.
     groups = ", ".join(
         f"struct(`__{out_col}_m{d.priority}` AS hits, {d.priority} AS priority, {sql_literal(d.name)} AS type, "
-        f"{sql_literal(d.prefix)} AS prefix, {sql_literal(d.pattern)} AS pattern)"
+        f"{sql_literal(d.prefix)} AS prefix, {sql_literal(d.pattern)} AS pattern, "
+        f"if(size(`__{out_col}_m{d.priority}`) > 0, regexp_replace({text}, {sql_literal(d.pattern)}, '{MARK}'), NULL) AS marked)"
         for d in catalogue
     )
     spans = f"""
         array_sort(flatten(transform(filter(array({groups}), g -> size(g.hits) > 0), g ->
           aggregate(
-            zip_with(slice(split({text}, g.pattern, -1), 1, size(g.hits)), g.hits,
+            zip_with(slice(if(contains({text}, '{MARK}'), split({text}, g.pattern, -1), split(g.marked, '{MARK}', -1)), 1, size(g.hits)), g.hits,
               (gap, hit) -> struct(length(gap) AS gap, hit AS hit)),
             struct(0 AS pos, CAST(array() AS array<{SPAN}>) AS out),
             (acc, p) -> struct(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstone.functions.mapping import severity_rank
-from wardstone.functions.text import java_pattern
+from wardstone.functions.text import java_pattern, leads_with_word
 from wardstone.operators.findings import FINDING, FINDINGS, finding, no_findings
 from wardstone.operators.redact import computed
 from wardstone.sources import rules as packs
@@ -30,7 +30,8 @@ def rule_finding(rule: Rule, location: str | None = None) -> Column:
 
 def _test_sql(rule: Rule, text: str, low: str) -> str:
     """Whether a rule matches; its words are tried first, on the lower-cased text."""
-    tests = [f"{text} RLIKE {sql_literal(java_pattern(rule.pattern, True))}"]
+    pattern = java_pattern(rule.pattern, True, leads_with_word(rule.pattern))
+    tests = [f"{text} RLIKE {sql_literal(pattern)}"]
     if rule.words:
         tests.insert(0, "(" + " OR ".join(f"contains({low}, {sql_literal(w)})" for w in rule.words) + ")")
     if rule.unless:
@@ -103,24 +104,32 @@ CONTROL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 LEET, PLAIN = "013457@$", "oieastas"
 
 
+# Blocks that hold all of the above, as ranges: one quick test that nearly all texts fail.
+SUSPECT = r"[\x{00AD}\x{0250}-\x{02AF}\x{0370}-\x{058F}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2069}\x{FEFF}]"
+
+
 def unicode_signals(df: DataFrame, text_col: str) -> DataFrame:
     """Adds folded text and counts of invisible, bidirectional, control and look-alike characters."""
     text = F.col(text_col)
-    no_invisible = F.regexp_replace(text, INVISIBLE, "")
-    return df.withColumns(
-        {
-            "folded": F.translate(no_invisible, LOOKALIKES, LOOKS_LIKE),
-            "n_invisible": F.regexp_count(text, F.lit(INVISIBLE)).cast("long"),
-            "n_bidi": F.regexp_count(text, F.lit(BIDI)).cast("long"),
-            "n_control": F.regexp_count(text, F.lit(CONTROL)).cast("long"),
-            "n_lookalike": F.regexp_count(text, F.lit(f"[{LOOKALIKES}]")).cast("long"),
-        }
+    keep = df.columns
+    df = computed(df, keep, text.rlike(SUSPECT).alias("__suspect"), F.regexp_count(text, F.lit(CONTROL)).cast("long").alias("n_control"))
+    suspect = F.col("__suspect")
+
+    def count(pattern: str) -> Column:
+        return F.when(suspect, F.regexp_count(text, F.lit(pattern))).otherwise(0).cast("long")
+
+    folded = F.translate(F.regexp_replace(text, INVISIBLE, ""), LOOKALIKES, LOOKS_LIKE)
+    return computed(
+        df, [*keep, "n_control"],
+        F.when(suspect, folded).otherwise(text).alias("folded"),
+        count(INVISIBLE).alias("n_invisible"), count(BIDI).alias("n_bidi"),
+        count(f"[{LOOKALIKES}]").alias("n_lookalike"),
     )
 
 
 def mixed_script(text: Column) -> Column:
     """A word with both Latin letters and Cyrillic or Greek look-alikes."""
-    return text.rlike(f"[A-Za-z][{LOOKALIKES}]|[{LOOKALIKES}][A-Za-z]")
+    return text.rlike(SUSPECT) & text.rlike(f"[A-Za-z][{LOOKALIKES}]|[{LOOKALIKES}][A-Za-z]")
 
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
