@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import check, table, values
+import checks.state  # noqa: F401  (its twins are reused)
+from checks.base import ORACLES, check, table, values
 from checks.pii import re2, span_ctes
 from checks.results import _DOMAIN_ISSUES, flat, long
 from checks.sqltext import DIMS, NO_APPROVAL, action, of_rank, q, rank, verdict
@@ -352,19 +353,67 @@ def e1(spark, d):
 RESPONSES = """SELECT row_id, response, prompt AS original_prompt, CASE WHEN response LIKE '%[EMAIL_1]%' THEN array(named_struct('token', '[EMAIL_1]', 'original', regexp_extract(prompt, 'u[0-9]+@acme.com', 0), 'type', 'email')) END AS pii_tokens FROM {asked}"""
 
 
-@check("e2_scan_responses")
+_TONE_SQL = ", ".join(
+    f"(CASE WHEN len({w}) = 0 THEN 0 ELSE round(len(list_filter({w}, lambda x: x IN ({', '.join(q(x) for x in words)})))::DOUBLE / len({w}), 6) END) AS {name}_{w}"
+    for w in ("rw", "pw") for name, words in (("profanity", packs.PROFANE), ("casual", packs.CASUAL), ("hostile", packs.HOSTILE))
+)
+_L8 = " UNION ALL ".join(
+    f"SELECT row_id, {600 + i}, 'tone', 'tonality_drift_{n}', 'medium', 0.7, 'flag', 'Response tone' FROM tone WHERE {n}_rw > {n}_pw + 0.02"
+    for i, n in enumerate(("profanity", "casual", "hostile"))
+)
+_E2_RULES = [*packs.LEAK, *packs.TOXIC, *packs.SECRETS]
+
+
+@check("e2_scan_responses", "WITH RECURSIVE " + _PAIRS + """, v AS (SELECT row_id, response, prompt, contains(response, '[EMAIL_1]') AS tok, regexp_extract(prompt, 'u[0-9]+@acme.com') AS o FROM asked),
+  m AS (SELECT row_id, tok, o, CASE WHEN tok THEN CASE WHEN o <> '' THEN replace(replace(response, '[EMAIL_1]', '[REDACTED]'), o, '[REDACTED]') ELSE replace(response, '[EMAIL_1]', '[REDACTED]') END ELSE response END AS r,
+    CASE WHEN tok AND o <> '' THEN replace(prompt, o, '[REDACTED]') ELSE prompt END AS p FROM v), """
+       + span_ctes("m", "row_id", "r", tag="_r") + ", " + span_ctes("m", "row_id", "p", tag="_p") + ", " + hits_sql("h", "m", "r", _E2_RULES, base=100) + f""",
+  w AS (SELECT row_id, p, regexp_extract_all(lower(r), '[a-z]+') AS rw, regexp_extract_all(lower(p), '[a-z]+') AS pw,
+    list_distinct(regexp_extract_all(lower(r), '[a-z]{{4,}}')) AS a, list_distinct(regexp_extract_all(lower(p), '[a-z]{{4,}}')) AS b FROM m),
+  tone AS (SELECT row_id, p, a, b, {_TONE_SQL} FROM w),
+  hits AS (SELECT *, 'Rule ' || rule_id AS policy FROM h
+    UNION ALL SELECT DISTINCT r.id, 400, 'diff', 'unexpected_pii_leakage', 'high', 0.9, 'block', 'Response data' FROM spans_r r WHERE NOT EXISTS (SELECT 1 FROM spans_p x WHERE x.id = r.id AND x.original = r.original)
+    UNION ALL SELECT row_id, 500, 'topic', 'topic_mismatch', 'low', 0.6, 'flag', 'Response topic' FROM tone WHERE p <> '' AND
+      CASE WHEN len(a) + len(b) = 0 THEN 1.0 ELSE round(len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))), 6) END < 0.02
+    UNION ALL {_L8}), """ + DIMS + ", " + results_from("hits", "scan_response") + """,
+  relaxed AS (SELECT * REPLACE (safe OR action = 'flag' AS safe, CASE WHEN action = 'flag' THEN 'allow' ELSE action END AS action) FROM results), vd AS ("""
+       + verdict("relaxed") + """) SELECT vd.*, CASE WHEN NOT blocked AND tok THEN replace(response, '[EMAIL_1]', o) ELSE '' END AS rehydrated FROM vd JOIN v ON CAST(v.row_id AS VARCHAR) = vd.request_id""")
 def e2(spark, d):
     out = jobs.scan_responses(spark.sql(RESPONSES, asked=asked(spark, d)))
     return by_row(out.withColumn("rehydrated", F.coalesce("rehydrated_response", F.lit(""))), "rehydrated")
 
 
-@check("e9_apply_decisions")
+def _e9_sql() -> str:
+    return ORACLES["v10_decision_outcome"].replace("'refused: '", "'Decision refused: '")
+
+
+@check("e9_apply_decisions", _e9_sql())
 def e9(spark, d):
     from checks.state import ledger, plain
 
     return plain(jobs.apply_decisions(*ledger(spark, d)), "approval_id")
 
 
+_V9_PLAIN = ORACLES["v9_status_verdict"].replace("LIKE '%3'", "LIKE '%never%'")
+
+
+@check("e9_approval_status", f"SELECT blocked, action, severity, count(*) AS n FROM ({_V9_PLAIN}) GROUP BY ALL")
+def e9_status(spark, d):
+    from checks.state import AS_OF, ledger
+
+    out = jobs.approval_status(*ledger(spark, d), AS_OF).withColumn("severity", F.coalesce("severity", F.lit("")))
+    return out.groupBy("blocked", "action", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@check("e12_reset_sessions", ORACLES["t5_sessions"].replace("CASE event_id % 3 WHEN 0 THEN CAST(-1 AS BIGINT) ELSE user_id END AS key", "user_id AS key"))
+def e12(spark, d):
+    from checks.views import CALLS
+
+    calls = spark_view(spark, d, CALLS)
+    turns = calls.filter("event_type <> 'signup'").withColumn("risk", (F.col("seq") % 100) / 100)
+    return jobs.reset_sessions(turns, calls.filter("event_type = 'signup'"), "key", "ts", "risk")
+
+
 @check("e10_ingest_bypass_reports", "WITH " + duck_view("b", BYPASSES) + " SELECT CASE WHEN coalesce(prompt,'')||coalesce(file_path,'')||coalesce(file_content,'')||coalesce(sql_query,'')||coalesce(search_query,'') = '' THEN 'rejected' ELSE 'accepted' END AS outcome, count(*) AS n FROM b GROUP BY ALL")
 def e10(spark, d):
     accepted, rejected = jobs.ingest_bypass_reports(spark_view(spark, d, BYPASSES))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardstone.functions.mapping import minutes_left
 from wardstone.functions.text import truthy
+from wardstone.operators.chunks import scan_in_chunks
 from wardstone.operators.quota import millis
 from wardstone.sources import fixed_values as fixed
 from wardstone.sources.tables import fixed_table, lookup
@@ -164,33 +165,43 @@ def content_hash(*parts: Column) -> Column:
 
 
 def distinct_requests(
-    requests: DataFrame, hash_col: str, ts: str, seq: str, window_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS
+    requests: DataFrame, hash_col: str, ts: str, seq: str, window_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS,
+    chunk_ms: int = 600_000,
 ) -> DataFrame:
-    """Requests that are not a repeat: adds ``duplicate``.
+    """Requests with ``duplicate``: whether they repeat one that still counts.
 
     The first request of a content opens a window; the same content within it is a repeat, the
-    first one after it opens the next window. Repeats in one millisecond are reduced first. A
-    request that follows a quiet window always opens one, so the chain is only walked within
-    busy stretches, over distinct milliseconds.
+    first one after it opens the next window. Repeats in one millisecond are reduced before
+    anything is shuffled by content, and one popular content is cut into chunks of time.
     """
     width = window_seconds * 1000
+
+    def openings(times: list, last: int | None) -> list[int]:
+        found = []
+        for ms in times:
+            if last is None or ms - last >= width:
+                found.append(ms)
+                last = ms
+        return found
+
+    def fold(state: tuple | None, start: int, summary: tuple) -> tuple[tuple, tuple]:
+        last = None if state is None else state[0]
+        found = openings(summary[0], last)
+        entry = -1 if last is None else last
+        return (entry,), ((found[-1] if found else last),)
+
+    def replay(rows: dict[str, list], start: int, entry: tuple) -> list[tuple]:
+        return [(ms,) for ms in openings(rows["ms"], None if entry[0] == -1 else entry[0])]
+
     timed = requests.withColumn("ms", millis(F.col(ts)))
     points = timed.groupBy(hash_col, "ms").agg(F.min(seq).alias("first_seq"))
-    order = Window.partitionBy(hash_col).orderBy("ms")
-    quiet = F.coalesce(F.col("ms") - F.lag("ms").over(order) >= width, F.lit(True))
-    points = points.withColumn("quiet", quiet.cast("long"))
-    points = points.withColumn("stretch", F.sum("quiet").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    chains = points.groupBy(hash_col, "stretch").agg(F.sort_array(F.collect_list("ms")).alias("times"))
-
-    def walk(acc: Column, ms: Column) -> Column:
-        opens = F.coalesce(ms - F.get(acc, F.size(acc) - 1) >= width, F.lit(True))
-        return F.when(opens, F.concat(acc, F.array(ms))).otherwise(acc)
-
-    opened = chains.select(
-        hash_col, F.explode(F.aggregate("times", F.array().cast("array<long>"), walk)).alias("ms")
+    opened, _ = scan_in_chunks(
+        points.select(hash_col, "ms"), hash_col, chunk_ms, lambda rows, start: (rows["ms"],), "times array<long>",
+        fold, "last_opened long", replay, "ms long",
+    )
+    marks = opened.join(points, [hash_col, "ms"]).select(
+        hash_col, F.col("first_seq").alias(seq), F.lit(True).alias("__opens")
     )
-    opened = opened.join(points.select(hash_col, "ms", "first_seq"), [hash_col, "ms"])
-    marks = opened.select(hash_col, F.col("first_seq").alias(seq), F.lit(True).alias("__opens"))
     return timed.join(marks, [hash_col, seq], "left").select(
         *requests.columns, F.col("__opens").isNull().alias("duplicate")
     )

@@ -5,7 +5,8 @@ to one task. Here time is cut into chunks and the work takes three steps:
 
 1. ``summarise`` each (key, chunk) into its transfer function: exit state for any entry state;
 2. ``fold`` the summaries of a key in order into the entry state of each chunk; this sees one
-   small row per chunk, so its size is bounded by the time span, not by the number of events;
+   row per chunk, so their number is bounded by the time span, not by the number of events, and
+   it holds one of them at a time;
 3. ``replay`` each (key, chunk) from its entry state and emit its rows.
 
 Steps 1 and 3 are partitioned by (key, chunk), so a busy key spreads over all tasks; in memory
@@ -67,14 +68,16 @@ def scan_in_chunks(
     chunk_ms: int,
     summarise: Callable[[dict[str, list], int], tuple],
     summary_schema: str,
-    fold: Callable[[dict[str, list]], list[tuple]],
+    fold: Callable[[tuple | None, int, tuple], tuple[tuple, tuple]],
     entry_schema: str,
     replay: Callable[[dict[str, list], int, tuple], list[tuple]],
     out_schema: str,
 ) -> tuple[DataFrame, DataFrame]:
     """(replayed rows, entry state per key and chunk) of ``events`` with columns ``key`` and ``ms``.
 
-    Events of a chunk come ordered by ``ms``, then ``seq`` if there is one.
+    Events of a chunk come ordered by ``ms``, then ``seq`` if there is one. ``fold`` takes the
+    state after the last chunk (null at first), a chunk's start and its summary, and gives the
+    chunk's entry state and the state after it.
     """
     order = ["ms", "seq"] if "seq" in events.columns else ["ms"]
     ids = [key, "chunk"]
@@ -87,12 +90,17 @@ def scan_in_chunks(
         return _emit(rows, ids + _names(summary_schema))
 
     def run_fold(batches):
-        rows = (
-            (i[0], chunk, *entry)
-            for i, cols in _runs(batches, [key])
-            for chunk, entry in zip(cols["chunk"], fold(cols))
-        )
-        return _emit(rows, ids + entry_names)
+        def rows():
+            current, state = None, None
+            for pdf in batches:
+                columns = [pdf[c].tolist() for c in ids + _names(summary_schema)]
+                for k, chunk, *summary in zip(*columns):
+                    if k != current:
+                        current, state = k, None
+                    entry, state = fold(state, chunk * chunk_ms, tuple(summary))
+                    yield (k, chunk, *entry)
+
+        return _emit(rows(), ids + entry_names)
 
     def run_replay(batches):
         def rows():

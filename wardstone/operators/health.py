@@ -95,19 +95,16 @@ def health_timeline(
             [c for c, _ in exits], [o for _, o in exits],
         )
 
-    def fold(rows: dict[str, list]) -> list[tuple]:
-        out, code, opened = [], 0, 0
-        columns = ["exit_code", "exit_opened", "tried_ms", "tried_code", "tried_opened"]
-        for exit_code, exit_opened, tried_ms, tried_code, tried_opened in zip(*(rows[c] for c in columns)):
-            out.append((code, opened))
-            if code < open0:
-                code, opened = int(exit_code[code]), int(exit_opened[code])
-                continue
-            i = bisect_left(tried_ms, opened + open_ms)
-            if i < len(tried_ms):
-                j = i * n_good + code - open0
-                code, opened = int(tried_code[j]), int(tried_opened[j])
-        return out
+    def fold(state: tuple | None, start: int, summary: tuple) -> tuple[tuple, tuple]:
+        exit_code, exit_opened, tried_ms, tried_code, tried_opened = summary
+        entry = code, opened = state or (0, 0)
+        if code < open0:
+            return entry, (int(exit_code[code]), int(exit_opened[code]))
+        i = bisect_left(tried_ms, opened + open_ms)
+        if i == len(tried_ms):
+            return entry, entry
+        j = i * n_good + code - open0
+        return entry, (int(tried_code[j]), int(tried_opened[j]))
 
     def replay(rows: dict[str, list], start: int, entry: tuple) -> list[tuple]:
         state, out = decode(*entry), []

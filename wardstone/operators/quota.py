@@ -63,15 +63,12 @@ def _buckets(calls: DataFrame, key: str, capacity: int, period_ms: int, chunk_ms
             at = ms
         return [p[0] for p in pieces], [p[2] for p in pieces], [p[3] for p in pieces], at
 
-    def fold(rows: dict[str, list]) -> list[tuple]:
-        out, tokens, at = [], full, None
-        for chunk, lo, base, slope, last in zip(*(rows[c] for c in ("chunk", "lo", "base", "slope", "last_ms"))):
-            if at is not None:
-                tokens = min(full, tokens + capacity * (chunk * chunk_ms - at))
-            entry, i, at = tokens, bisect_right(lo, tokens) - 1, last
-            tokens = int(base[i] + slope[i] * (tokens - lo[i]))
-            out.append((entry, tokens, at))
-        return out
+    def fold(state: tuple | None, start: int, summary: tuple) -> tuple[tuple, tuple]:
+        lo, base, slope, last = summary
+        tokens = full if state is None else min(full, state[0] + capacity * (start - state[1]))
+        i = bisect_right(lo, tokens) - 1
+        after = int(base[i] + slope[i] * (tokens - lo[i]))
+        return (tokens, after, last), (after, last)
 
     def replay(rows: dict[str, list], start: int, entry: tuple) -> list[tuple]:
         tokens, at, out = entry[0], start, []
