@@ -122,10 +122,24 @@ def s7(spark, d):
         "row_id", long("pos").alias("pos"), "f.type", "f.severity", "f.confidence", "f.action", "f.message")
 
 
-@check("s8_audit_lines")
+_LINE_FIELDS = ["level", "type", "request_id", "customer_id", "tool_name", "blocked", "threat_type", "detection_layers", "policy_ids"]
+
+
+def _list_sql(col: str, failed: str) -> str:
+    body = "'\"' || " + col + " || '\"'"
+    return f"CASE WHEN NOT ok THEN '[\"{failed}\"]' ELSE '[' || coalesce(string_agg({body}, ',' ORDER BY pos), '') || ']' END"
+
+
+@check("s8_audit_lines", "WITH " + duck_view("replies", REPLIES) + ", " + _JSON + ", " + FILLED + f"""
+  SELECT 'info' AS level, 'scan_detail' AS type, CAST(row_id AS VARCHAR) AS request_id, 'anonymous' AS customer_id, 'scan_prompt' AS tool_name,
+    CASE WHEN NOT ok OR NOT coalesce(CAST(j->>'$.safe' AS BOOLEAN), false) OR coalesce(bool_or(action IN ('block', 'redact', 'flag') OR severity IN ('critical', 'high', 'medium')), false) THEN 'true' ELSE 'false' END AS blocked,
+    CASE WHEN NOT ok THEN 'scan_error' ELSE coalesce(arg_min(type, pos), '') END AS threat_type,
+    {_list_sql('detected_by', 'fail_closed_policy')} AS detection_layers, {_list_sql('policy_id', 'pol-fail-closed')} AS policy_ids
+  FROM parsed p LEFT JOIN filled f ON f.request_id = p.row_id GROUP BY row_id, ok, j""")
 def s8(spark, d):
     df = replies.reply_results(spark_view(spark, d, REPLIES).withColumn("request_id", F.col("row_id").cast("string")), "reply", "scan_prompt", "error")
-    return sinks.audit_lines(df, "scan_prompt", F.lit("anonymous")).select("line")
+    lines = sinks.audit_lines(df, "scan_prompt", F.lit("anonymous"))
+    return lines.select(*[F.coalesce(F.get_json_object("line", f"$.{f}"), F.lit("")).alias(f) for f in _LINE_FIELDS])
 
 
 _BYPASS = """SELECT row_id, CASE WHEN nullif(prompt, '') IS NOT NULL THEN prompt

@@ -50,6 +50,14 @@ def tool_table(spark) -> DataFrame:
     return fixed_table(spark, ["tool", "fallback_type", "blocked_instruction"], rows)
 
 
+def by_tool(tool: Column, pairs: list[tuple[str, str]]) -> Column:
+    """The value of a tool. A plan with one tool folds it to a constant, where a join would not."""
+    out = F.lit(None).cast("string")
+    for name, value in pairs:
+        out = F.when(tool == name, value).otherwise(out)
+    return out
+
+
 def normalise_threat(df: DataFrame, source: str, out: str = "threat_type") -> DataFrame:
     """Adds the reported type of an internal threat name; unknown names give ``unknown``."""
     aliases = alias_table(df.sparkSession).withColumnRenamed("threat_type", "__type")
@@ -97,10 +105,8 @@ def build_verdict(df: DataFrame, *carry: str) -> DataFrame:
     In order: held for approval; safe and allowed (prompt and response scans also let redacted
     content pass); everything else is blocked, flagged content included.
     """
-    spark = df.sparkSession
-    # Tool texts and the type to assume when no finding names one.
-    df = lookup(df, tool_table(spark), "tool")
-    named = F.coalesce(truthy(F.col("primary_type")), F.col("fallback_type"), F.lit("unknown"))
+    fallback = by_tool(F.col("tool"), fixed.FALLBACK_TYPES)
+    named = F.coalesce(truthy(F.col("primary_type")), fallback, F.lit("unknown"))
     df = normalise_threat(df.withColumn("__named", named), "__named")
     df = with_threat_details(df)
 
@@ -134,7 +140,7 @@ def build_verdict(df: DataFrame, *carry: str) -> DataFrame:
         "guidance": F.when(blocked, F.col("guidance")),
         "agent_instruction": F.when(held, hold_instruction)
         .when(allowed, fixed.ALLOWED_INSTRUCTION)
-        .otherwise(F.col("blocked_instruction")),
+        .otherwise(by_tool(F.col("tool"), fixed.AGENT_INSTRUCTIONS)),
         "user_message": F.when(held, hold_message).when(blocked, F.col("type_message")),
         "approval_id": F.when(held, a["approval_id"]),
         "approval_context": F.when(held, approval_context(a)),
