@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import line_dedup
+from wardstone.llm import decontaminate, line_dedup
 from wardstone.sources.tables import read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,9 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that stood before."""
     return line_dedup.remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", F.inline(F.array("__out")))
+
+
+@query("op7_benchmark_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the best window."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
