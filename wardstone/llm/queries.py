@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import decontaminate, line_dedup
+from wardstone.llm import decontaminate, line_dedup, toxicity
 from wardstone.sources.tables import read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,18 @@ SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') EN
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id"""
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; the folds learned from are those that are not held out."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    out = toxicity.scored(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic")))
+    score = F.col("__toxicity.score")
+    return out.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
+        F.when(score >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"), F.col("__toxicity.passages").alias("passages"),
+    )
+
+
 @query("op6_line_dedup", _LINES_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that stood before."""
