@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 BATCH_BYTES = 4 << 20
@@ -128,7 +129,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         group = np.cumsum(sizes, dtype=np.int64) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
