@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import decontaminate, line_dedup, near_dedup, toxicity
+from wardstone.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
 from wardstone.sources.tables import read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item and the best window."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.packed(docs, public_tokenizers.path(packing.VOCABULARY))
