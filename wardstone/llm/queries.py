@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
+from wardstone.llm import decontaminate, line_dedup, near_dedup, packing, simhash, toxicity
 from wardstone.sources.tables import read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return packing.packed(docs, public_tokenizers.path(packing.VOCABULARY))
+
+
+@query("op9_document_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside those of its edited text and of the next document."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return simhash.fingerprint_report(docs, F.col("doc_id") % 50 == 0)
