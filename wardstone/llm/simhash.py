@@ -100,7 +100,8 @@ def within_radius(queries: DataFrame, prints: DataFrame) -> DataFrame:
     rest = equal.bitwiseAND(equal - 1)
     first_two = equal.bitwiseAND(-equal).bitwiseOR(rest.bitwiseAND(-rest))
     near = (distance(own, other) <= RADIUS) & (distance(own, other) > 0) & (first_two == F.col("tables"))
-    return asked.join(known, ["tables", "key"]).where(near).select("query_0", "query_1", "print_0", "print_1")
+    # Both sides grow with the documents, so neither is ever sent whole to every task.
+    return asked.hint("merge").join(known, ["tables", "key"]).where(near).select("query_0", "query_1", "print_0", "print_1")
 
 
 def _range_of(doc_id: Column, bounds: list[int]) -> Column:
