@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import decontaminate, line_dedup, near_dedup, packing, simhash, toxicity
+from wardstone.llm import chat, decontaminate, line_dedup, near_dedup, packing, simhash, toxicity, warc
+from wardstone.llm.storage import shared_folder
 from wardstone.sources.tables import read_table, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +124,48 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint beside those of its edited text and of the next document."""
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return simhash.fingerprint_report(docs, F.col("doc_id") % 50 == 0)
+
+
+_PAGES_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM h WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, h.payload_digest, CASE WHEN f.first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.first <> page_id THEN f.first END AS refers_to
+FROM h LEFT JOIN f ON h.payload_digest = f.payload_digest"""
+
+
+@query("op1_warc_salvage", _PAGES_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives it was written to."""
+    folder = f"{shared_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.pages_of(warc.read_archives(spark, folder, with_payload=False))
+
+
+_CHAT_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized AS (
+  SELECT *, length(role) + length(text) + {len(chat.OPEN) + 1 + len(chat.CLOSE)}
+    + length(role || text) - length(replace(role || text, chr(92), ''))
+    + len(regexp_extract_all(role, '{chat.CONTROL_PATTERN}')) + len(regexp_extract_all(text, '{chat.CONTROL_PATTERN}'))
+    + length(role) - length(replace(role, chr(10), '')) AS formatted
+  FROM turns),
+each AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS learned, sum(formatted) AS formatted_chars
+  FROM sized GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+  CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM each"""
+
+
+@query("op5_chat_formatting", _CHAT_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as read back from its formatted text."""
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    turns = chat.turn_rows(_table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.formatted(turns.unionByName(chat.turn_rows(more))))
