@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import chat, decontaminate, line_dedup, near_dedup, packing, simhash, toxicity, warc
+from wardstone.llm import chat, decontaminate, line_dedup, near_dedup, packing, simhash, surrogates, toxicity, warc
 from wardstone.llm.storage import shared_folder
 from wardstone.sources.tables import read_table, spread
 
@@ -169,3 +169,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
     turns = chat.turn_rows(_table(spark, sf_dir, "conversations"))
     return chat.read_back(chat.formatted(turns.unionByName(chat.turn_rows(more))))
+
+
+#: The key of this query; users of the operator pass their own.
+SURROGATE_KEY = b"registered query"
+
+
+@query("op2_pii_surrogates")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for its personal data and secrets."""
+    out = surrogates.replaced(_table(spark, sf_dir, "documents", "doc_id", "text"), SURROGATE_KEY)
+    return out.select("doc_id", "__out.text", "__out.n_entities", "__out.kinds")
