@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import chat, decontaminate, line_dedup, near_dedup, packing, simhash, surrogates, toxicity, warc
+from wardstone.llm import chat, decontaminate, line_dedup, near_dedup, packing, simhash, suffix_dedup, surrogates, toxicity, warc
 from wardstone.llm.storage import shared_folder
 from wardstone.sources.tables import read_table, spread
 
@@ -180,3 +180,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with surrogates for its personal data and secrets."""
     out = surrogates.replaced(_table(spark, sf_dir, "documents", "doc_id", "text"), SURROGATE_KEY)
     return out.select("doc_id", "__out.text", "__out.n_entities", "__out.kinds")
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every span of every document that repeats passages which stood before."""
+    return suffix_dedup.repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
