@@ -154,6 +154,8 @@ def parsed(data: bytes) -> tuple[dict[str, str], int, int]:
     stop = data.find(b"\r\n\r\n", 0, LONGEST_HEAD)
     if stop < 0:
         raise Bad("no end of the head")
+    if VERSION.search(data, 1, stop):
+        raise Bad("another record in the head")
     headers = {}
     for line in bytes(data[:stop]).decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
