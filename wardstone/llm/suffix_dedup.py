@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstone.llm.sieve import listed
-from wardstone.llm.storage import cut
+from wardstone.llm.storage import cut, stored
 from wardstone.llm.text import Words, pieces, runs, signed, split_words
 
 LENGTH = 50
@@ -118,7 +118,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     alike = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, "doc long, at long")
     kept = cut(alike.groupBy("doc").agg(F.collect_list("at").alias("__kept")))
     found = listed(texts, "doc_id", kept.select(F.col("doc").alias("id"))).join(kept.withColumnRenamed("doc", "doc_id"), "doc_id")
-    passages = cut(found.mapInArrow(_passages, "passage long, doc long, at long, again boolean"))
+    passages = stored(found.mapInArrow(_passages, "passage long, doc long, at long, again boolean"))
     places = passages.groupBy("passage").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max("again").alias("within"))
     shared = places.where("first < last OR within").select("passage", "first")
     later = passages.join(shared, "passage").where("doc > first OR again")

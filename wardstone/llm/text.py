@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK = 1 << 20
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _STEP = 0x9E3779B97F4A7C15 | 1
 _BACK = pow(_STEP, -1, 1 << 64)
