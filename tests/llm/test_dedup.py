@@ -74,11 +74,10 @@ def groups_of(texts, width):
     return {i: (len(sets[i]), group[i]) for i in range(len(texts))}
 
 
-@pytest.mark.parametrize(("short", "rounds"), [(64, 2), (3, 2), (3, 0)])
-def test_near_dedup_finds_every_link(spark, monkeypatch, short, rounds):
+@pytest.mark.parametrize(("short", "block"), [(64, 9), (3, 3), (1, 1000)])
+def test_near_dedup_finds_every_link(spark, monkeypatch, short, block):
     monkeypatch.setattr(near_dedup, "SHORT", short)
-    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
-    monkeypatch.setattr(near_dedup, "LEADERS", 2)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
     texts = near_texts(random.Random(5))
     out = near_dedup.near_duplicates(frame(spark, texts), width=2).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == groups_of(texts, 2)
