@@ -137,7 +137,7 @@ def b4(spark, d):
 
 
 @check("b4_scrambled_words", "WITH v AS (" + SPACED.format(documents="documents") + "), " + values("lex", ["meant"], [(w,) for w in packs.SHUFFLED]) + """,
-  words AS (SELECT row_id, unnest(regexp_extract_all(lower(text), '[a-z]{4,}')) AS word FROM v),
+  words AS (SELECT row_id, unnest(regexp_extract_all(lower(text), '\\p{L}{4,}')) AS word FROM v),
   keyed AS (SELECT *, left(word, 1) || array_to_string(list_sort(string_split(substr(word, 2, length(word) - 2), '')), '') || right(word, 1) AS k FROM words),
   lk AS (SELECT meant, left(meant, 1) || array_to_string(list_sort(string_split(substr(meant, 2, length(meant) - 2), '')), '') || right(meant, 1) AS k FROM lex)
   SELECT row_id, word, meant, count(*) AS n FROM keyed JOIN lk USING (k) WHERE word <> meant GROUP BY ALL""")
@@ -171,7 +171,7 @@ def b13(spark, d):
     return df.select("row_id", F.explode(screen.leaked_originals(F.col("ps"), F.col("rs"))).alias("original"))
 
 
-@check("b14_topic_overlap", "WITH " + _PAIRS + """, w AS (SELECT row_id, list_distinct(regexp_extract_all(lower(response), '[a-z]{4,}')) AS a, list_distinct(regexp_extract_all(lower(prompt), '[a-z]{4,}')) AS b FROM asked)
+@check("b14_topic_overlap", "WITH " + _PAIRS + """, w AS (SELECT row_id, list_distinct(regexp_extract_all(lower(response), '\\p{L}{4,}')) AS a, list_distinct(regexp_extract_all(lower(prompt), '\\p{L}{4,}')) AS b FROM asked)
   SELECT row_id, CASE WHEN len(a) + len(b) = 0 THEN 1.0::DOUBLE ELSE round(len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))), 6) END AS overlap FROM w""")
 def b14(spark, d):
     df = asked(spark, d)
@@ -181,7 +181,7 @@ def b14(spark, d):
 TONED = """SELECT conv_id * 1000 + turn AS row_id, CASE (conv_id + turn) % 4 WHEN 0 THEN 'yeah dude ' || text WHEN 1 THEN text || ' damn crap' WHEN 2 THEN 'You pathetic loser ' || text ELSE text END AS text FROM {conversations}"""
 
 
-@check("b15_tone", "WITH v AS (" + TONED.format(conversations="conversations") + "), w AS (SELECT row_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM v) SELECT v.row_id, "
+@check("b15_tone", "WITH v AS (" + TONED.format(conversations="conversations") + "), w AS (SELECT row_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS w FROM v) SELECT v.row_id, "
        + ", ".join(f"coalesce(round((count(*) FILTER (WHERE w IN ({', '.join(q(x) for x in words)})))::DOUBLE / nullif(count(w), 0), 6), 0) AS {name}" for name, words in (("profane", packs.PROFANE), ("casual", packs.CASUAL), ("hostile", packs.HOSTILE)))
        + " FROM v LEFT JOIN w USING (row_id) GROUP BY v.row_id")
 def b15(spark, d):
@@ -191,7 +191,7 @@ def b15(spark, d):
 
 
 @check("b16_system_prompt_leak", """WITH sys AS (SELECT conv_id, arg_min(text, turn) AS s FROM conversations WHERE role = 'system' GROUP BY conv_id),
-  a AS (SELECT c.conv_id, c.turn, regexp_extract_all(lower(s), '[a-z]+') AS sw, regexp_extract_all(lower(CASE WHEN c.turn % 2 = 0 THEN c.text || ' ' || s ELSE c.text END), '[a-z]+') AS tw FROM conversations c JOIN sys USING (conv_id) WHERE c.role = 'assistant'),
+  a AS (SELECT c.conv_id, c.turn, regexp_extract_all(lower(s), '\\p{L}+') AS sw, regexp_extract_all(lower(CASE WHEN c.turn % 2 = 0 THEN c.text || ' ' || s ELSE c.text END), '\\p{L}+') AS tw FROM conversations c JOIN sys USING (conv_id) WHERE c.role = 'assistant'),
   g AS (SELECT conv_id, turn, list_distinct(list_transform(range(1, greatest(len(sw) - 3, 1)), lambda i: array_to_string(sw[i:i+4], ' '))) AS sg,
      list_distinct(list_transform(range(1, greatest(len(tw) - 3, 1)), lambda i: array_to_string(tw[i:i+4], ' '))) AS tg FROM a)
   SELECT conv_id, turn, CASE WHEN len(sg) = 0 THEN 0.0::DOUBLE ELSE round(len(list_intersect(sg, tg))::DOUBLE / len(sg), 6) END AS containment FROM g""")
@@ -208,7 +208,7 @@ MULTI = """SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN text || ' ignore all'
 _ANY = "|".join(f"(?:{re2(r.pattern, False)})" for r in packs.PROMPT)
 
 
-@check("b17_turn_patterns", "WITH v AS (" + MULTI.format(conversations="conversations") + """), w AS (SELECT *, list_distinct(regexp_extract_all(lower(text), '[a-z]{4,}')) AS a FROM v),
+@check("b17_turn_patterns", "WITH v AS (" + MULTI.format(conversations="conversations") + """), w AS (SELECT *, list_distinct(regexp_extract_all(lower(text), '\\p{L}{4,}')) AS a FROM v),
   p AS (SELECT *, lag(a) OVER o AS b, lag(blocked) OVER o AS pb, lag(risk) OVER o AS r1, lag(risk, 2) OVER o AS r2, lag(text) OVER o AS t1, lag(text, 2) OVER o AS t2 FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY turn)),
   j AS (SELECT *, concat_ws(' ', t2, t1, text) AS joined, CASE WHEN len(a) + len(b) = 0 THEN 1.0 ELSE round(len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))), 6) END AS ov FROM p)
   SELECT conv_id, turn, coalesce(b IS NOT NULL AND pb AND ov >= 0.5, false) AS blocked_retry, r2 IS NOT NULL AND risk > r1 AND r1 > r2 AS trust_escalation,
@@ -316,7 +316,7 @@ def e7(spark, d):
 
 @check("e8_scan_agent_cards", "WITH " + duck_view("raw", CARDS) + """, v AS (SELECT row_id, json_valid(agent_card) AS ok, CASE WHEN json_valid(agent_card) THEN agent_card::JSON END AS j FROM raw),
   t AS (SELECT row_id, concat_ws(chr(10), j->>'$.name', j->>'$.description', j->>'$.skills[0].name', j->>'$.skills[0].description', j->>'$.skills[1].name', j->>'$.skills[1].description') AS text, j->>'$.url' AS url FROM v),
-  s AS (SELECT row_id, CASE WHEN url IS NOT NULL THEN [regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)] END AS target_domains FROM t), """ + _DOMAIN_ISSUES + ", "
+  s AS (SELECT row_id, CASE WHEN url IS NOT NULL THEN [regexp_extract(url, '(?i)^[a-z]+://([^/:?#]+)', 1)] END AS target_domains FROM t), """ + _DOMAIN_ISSUES + ", "
        + hits_sql("h1", "t", "text", packs.CARD_TEXT, base=10) + ", " + hits_sql("h2", "t", "url", packs.CARD_URL, base=100) + """, found AS (SELECT * FROM h1 UNION ALL SELECT * FROM h2
    UNION ALL SELECT row_id, 0, 'x', 'scan_error', 'high', 1.0, 'block' FROM v WHERE NOT ok UNION ALL SELECT row_id, 200 + i * 10 + k, 'd', type, severity, 0.85, 'flag' FROM issues), """
        + DIMS + ", " + special_sql("scan_agent_card", _HALF) + " " + verdict("results"))
@@ -368,8 +368,8 @@ _E2_RULES = [*packs.LEAK, *packs.TOXIC, *packs.SECRETS]
   m AS (SELECT row_id, tok, o, CASE WHEN tok THEN CASE WHEN o <> '' THEN replace(replace(response, '[EMAIL_1]', '[REDACTED]'), o, '[REDACTED]') ELSE replace(response, '[EMAIL_1]', '[REDACTED]') END ELSE response END AS r,
     CASE WHEN tok AND o <> '' THEN replace(prompt, o, '[REDACTED]') ELSE prompt END AS p FROM v), """
        + span_ctes("m", "row_id", "r", tag="_r") + ", " + span_ctes("m", "row_id", "p", tag="_p") + ", " + hits_sql("h", "m", "r", _E2_RULES, base=100) + f""",
-  w AS (SELECT row_id, p, regexp_extract_all(lower(r), '[a-z]+') AS rw, regexp_extract_all(lower(p), '[a-z]+') AS pw,
-    list_distinct(regexp_extract_all(lower(r), '[a-z]{{4,}}')) AS a, list_distinct(regexp_extract_all(lower(p), '[a-z]{{4,}}')) AS b FROM m),
+  w AS (SELECT row_id, p, regexp_extract_all(lower(r), '\\p{{L}}+') AS rw, regexp_extract_all(lower(p), '\\p{{L}}+') AS pw,
+    list_distinct(regexp_extract_all(lower(r), '\\p{{L}}{{4,}}')) AS a, list_distinct(regexp_extract_all(lower(p), '\\p{{L}}{{4,}}')) AS b FROM m),
   tone AS (SELECT row_id, p, a, b, {_TONE_SQL} FROM w),
   hits AS (SELECT *, 'Rule ' || rule_id AS policy FROM h
     UNION ALL SELECT DISTINCT r.id, 400, 'diff', 'unexpected_pii_leakage', 'high', 0.9, 'block', 'Response data' FROM spans_r r WHERE NOT EXISTS (SELECT 1 FROM spans_p x WHERE x.id = r.id AND x.original = r.original)

@@ -139,8 +139,8 @@ def a9(spark, d):
 
 
 CREATED, DECIDED = "epoch_us(created_at) // 1000", "epoch_us(decided_at) // 1000"
-_REFUSED = f"""code AS (SELECT *, CASE WHEN decision IS NULL THEN 'NONE' WHEN severity IN ('high', 'critical') AND decided_via <> 'dashboard' THEN 'DASHBOARD_REQUIRED'
-  WHEN severity NOT IN ('high', 'critical') AND {DECIDED} - {CREATED} < 60000 THEN 'COOLDOWN_ACTIVE' WHEN decider = requester THEN 'SELF_APPROVAL_BLOCKED'
+_REFUSED = f"""code AS (SELECT *, CASE WHEN decision IS NULL THEN 'NONE' WHEN decided_via = 'scanner' THEN 'SCANNER_ROUTE_DENIED' WHEN coalesce(severity, '') NOT IN ('low', 'medium') AND coalesce(decided_via, '') <> 'dashboard' THEN 'DASHBOARD_REQUIRED'
+  WHEN severity IN ('low', 'medium') AND coalesce(decided_via, '') <> 'dashboard' AND {DECIDED} - {CREATED} < 60000 THEN 'COOLDOWN_ACTIVE' WHEN decider IS NULL OR decider = requester THEN 'SELF_APPROVAL_BLOCKED'
   WHEN {DECIDED} - {CREATED} >= 1800000 THEN 'EXPIRED' ELSE '' END AS refusal FROM a)"""
 _STATES = _REFUSED + f""", states AS (SELECT approval_id, status, CASE WHEN status = 'pending' THEN CAST(ceil(({CREATED} + 1800000 - {AS_OF_MS}) / 1000.0) AS BIGINT) ELSE 0 END AS expires_in_seconds,
    CASE WHEN counts THEN justification END AS justification FROM (

@@ -19,22 +19,28 @@ def decision_refusals(
 ) -> DataFrame:
     """Each decision with the code it was refused with, or null where it counts.
 
-    High and critical requests need the dashboard; others accept nothing within the cooldown; nobody
-    decides on their own request; nothing is accepted after expiry.
+    High and critical requests need the dashboard; others accept nothing from an agent within the
+    cooldown; the scanner's own route decides nothing; nobody decides on their own request; nothing is
+    accepted after expiry. What is not known is refused: a decision of no known request, a severity
+    other than low or medium counts as high, a channel that is not named as an agent's, and a decider
+    or requester who is not named as the same person.
     """
     c = F.col
     joined = decisions.join(
-        requests.select("approval_id", "requester", "created_at", "severity"), "approval_id"
+        requests.select("approval_id", "requester", "created_at", "severity", F.lit(True).alias("__known")), "approval_id", "left"
     )
     age = millis(c("decided_at")) - millis(c("created_at"))
-    serious = F.lower("severity").isin("high", "critical")
+    serious = ~F.coalesce(F.lower("severity").isin("low", "medium"), F.lit(False))
+    by_dashboard = F.coalesce(c("decided_via") == "dashboard", F.lit(False))
     code = (
-        F.when(serious & (c("decided_via") != "dashboard"), "DASHBOARD_REQUIRED")
-        .when(~serious & (age < cooldown_seconds * 1000), "COOLDOWN_ACTIVE")
-        .when(c("decider") == c("requester"), "SELF_APPROVAL_BLOCKED")
-        .when(age >= expiry_seconds * 1000, "EXPIRED")
+        F.when(c("__known").isNull(), "APPROVAL_NOT_FOUND")
+        .when(c("decided_via") == "scanner", "SCANNER_ROUTE_DENIED")
+        .when(serious & ~by_dashboard, "DASHBOARD_REQUIRED")
+        .when(~serious & ~by_dashboard & F.coalesce(age < cooldown_seconds * 1000, F.lit(True)), "COOLDOWN_ACTIVE")
+        .when(F.coalesce(c("decider") == c("requester"), F.lit(True)), "SELF_APPROVAL_BLOCKED")
+        .when(F.coalesce(age >= expiry_seconds * 1000, F.lit(True)), "EXPIRED")
     )
-    return joined.withColumn("refusal", code)
+    return joined.withColumn("refusal", code).drop("__known")
 
 
 def approval_states(

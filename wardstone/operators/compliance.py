@@ -47,7 +47,7 @@ def framework_counts(found: DataFrame, type_col: str) -> DataFrame:
     typed = normalise_threat(found.withColumnRenamed(type_col, "__raw"), "__raw")
     counts = with_threat_details(typed.groupBy("threat_type").agg(F.count(F.lit(1)).alias("n")))
     # The first reference is the OWASP category, which is no framework.
-    refs = counts.select("threat_type", "n", F.explode(F.slice("framework_references", 2, 100)).alias("ref"))
+    refs = counts.select("threat_type", "n", F.explode(F.slice("framework_references", F.lit(2), F.size("framework_references"))).alias("ref"))
     name = F.col("ref")
     for framework, prefix in FRAMEWORK_PREFIXES:
         name = F.when(F.col("ref").startswith(prefix), framework).otherwise(name)

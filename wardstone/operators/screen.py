@@ -199,7 +199,7 @@ def scrambled_words(df: DataFrame, key: str, text_col: str, lexicon: list[str] =
     The lexicon is joined on its keys (broadcast: it is a list), so a text's words never meet
     each other.
     """
-    words = df.select(key, F.explode(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z]{4,}"), F.lit(0))).alias("word"))
+    words = df.select(key, F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(r"\p{L}{4,}"), F.lit(0))).alias("word"))
     lex = fixed_table(df.sparkSession, ["meant"], [(w,) for w in lexicon]).withColumn("__k", scramble_key(F.col("meant")))
     keyed = words.withColumn("__k", scramble_key(F.col("word")))
     hits = keyed.join(F.broadcast(lex), "__k").filter("word <> meant")
@@ -258,7 +258,7 @@ def leaked_originals(prompt_spans: Column, response_spans: Column) -> Column:
 
 
 def word_set(text: Column, least: int = 4) -> Column:
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"[a-z]{{{least},}}"), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(rf"\p{{L}}{{{least},}}"), F.lit(0)))
 
 
 def topic_overlap(a: Column, b: Column) -> Column:
@@ -269,14 +269,14 @@ def topic_overlap(a: Column, b: Column) -> Column:
 
 def tone_ratio(text: Column, words: list[str]) -> Column:
     """Share of the words of a text that are in a list."""
-    found = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    found = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
     hits = F.size(F.filter(found, lambda w: w.isin(words)))
     return F.when(F.size(found) == 0, 0.0).otherwise(F.round(hits / F.size(found), 6))
 
 
 def shingles(text: Column, n: int = 5) -> Column:
     """Distinct runs of n words."""
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
     places = F.sequence(F.lit(1), F.size(words) - n + 1)
     runs = F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
     return F.when(F.size(words) >= n, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))

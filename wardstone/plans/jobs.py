@@ -277,7 +277,7 @@ def scan_agent_cards(
         {
             "__text": F.concat_ws("\n", c["name"], c["description"], c["provider"]["organization"], skills),
             "__url": c["url"],
-            "__hosts": F.array_compact(F.array(F.nullif(F.regexp_extract(c["url"], "^[a-z]+://([^/:?#]+)", 1), F.lit("")))),
+            "__hosts": F.array_compact(F.array(F.nullif(F.regexp_extract(c["url"], "(?i)^[a-z]+://([^/:?#]+)", 1), F.lit("")))),
         }
     )
     df = screen.apply_rules(df, "__text", rules, "__f1")

@@ -56,7 +56,7 @@ def reply_results(df: DataFrame, reply_col: str, tool: str, error_col: str | Non
     error = truthy(F.col(error_col)) if error_col else F.lit(None)
     reason = F.when(
         F.col(reply_col).isNull(), F.coalesce(error, F.lit("Scan error"))
-    ).when(reply["broken"].isNotNull(), "Scan error")
+    ).when(reply["broken"].isNotNull() | (F.trim(F.col(reply_col)) == ""), "Scan error")
     df = df.withColumn("failure", reason)
     failed = F.col("failure").isNotNull()
     scan = "Response scan" if tool == "scan_response" else "Security scan"
