@@ -184,6 +184,33 @@ def deobfuscated(text: Column) -> Column:
     return F.translate(F.lower(joined), LEET, PLAIN)
 
 
+SPACED = r"(?<![A-Za-z0-9])[A-Za-z0-9@$] [A-Za-z0-9@$](?![A-Za-z0-9])"
+LEET_WORD = r"[A-Za-z][013457@$][A-Za-z]|\b[013457@$][A-Za-z]{2}"
+
+
+def disguised(df: DataFrame, text_col: str, found_col: str, rules: list[Rule], location: str | None = None) -> DataFrame:
+    """Adds to the findings of a text those of its disguises; texts that have findings already are passed over.
+
+    Look-alike and invisible characters are folded, base64 and hexadecimal runs decoded, spaced-out letters joined and
+    digits read as letters. Each is tried only where a quick test says that there is something to undo, and the rules
+    run once over what came of it.
+    """
+    keep = df.columns
+    text = F.when(F.size(found_col) == 0, F.col(text_col))
+    df = df.withColumn("__open", text)
+    df = df.withColumns(
+        {
+            "__folded": F.when(F.col("__open").rlike(SUSPECT), F.translate(F.regexp_replace("__open", INVISIBLE, ""), LOOKALIKES, LOOKS_LIKE)),
+            "__decoded": F.when(F.col("__open").rlike("[A-Za-z0-9+/]{16}"), F.array_join(decoded_texts(F.col("__open")), "\n")),
+        }
+    )
+    plain = F.coalesce("__folded", "__open")
+    df = df.withColumn("__joined", F.when(plain.rlike(f"{SPACED}|{LEET_WORD}"), deobfuscated(plain)))
+    df = df.withColumn("__undone", F.concat_ws("\n", "__folded", "__decoded", "__joined"))
+    df = apply_rules(df, "__undone", rules, "__more", location)
+    return df.withColumn(found_col, F.concat(found_col, "__more")).select(*keep)
+
+
 def scramble_key(word: Column) -> Column:
     """First letter, sorted middle letters, last letter: equal for a word and its scrambled forms."""
     middle = F.split(F.substring(word, F.lit(2), F.length(word) - 2), "")

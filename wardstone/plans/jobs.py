@@ -81,6 +81,8 @@ def scan_prompts(
     df = redact.redact_request(df, "__content", "__context", catalogue, F.col("redact_pii"))
     df = screen.apply_rules(df, "masked_content", rules, "__f1", "content")
     df = screen.apply_rules(df, "masked_context", rules, "__f2", "context")
+    df = screen.disguised(df, "masked_content", "__f1", rules, "content")
+    df = screen.disguised(df, "masked_context", "__f2", rules, "context")
     size = F.when(F.col("__size").isNotNull(), verdict.size_finding(F.col("__size")))
     df = df.withColumn("__found", F.concat(only(size), "__f1", "__f2"))
     df = df.withColumn("redacted_content", F.when(F.col("pii_detected"), F.col("redacted_content")))
