@@ -327,15 +327,22 @@ def turn_patterns(turns: DataFrame, key: str, turn: str, text: str, risk: str, b
     over ``together`` turns. topic_pivot: no word shared with the turn before. payload_splitting:
     the last turns joined match a rule that none of them matches alone.
 
-    Each turn needs its last few turns only. A session is cut into strides of turns, and every
-    stride also gets the few turns before it, so a huge session is many small groups.
+    Each turn needs its last few turns only. Turns are counted first, within ranges of their numbers
+    and then over the ranges, so numbers may have gaps. A session is cut into strides of turns, and
+    every stride also gets the few turns before it, so a huge session is many small groups.
     """
     back = together - 1
-    placed = turns.withColumn("__home", F.floor(F.col(turn) / stride))
+    ranged = turns.withColumn("__range", F.floor(F.col(turn) / stride))
+    before = F.sum("__n").over(Window.partitionBy(key).orderBy("__range")) - F.col("__n")
+    starts = ranged.groupBy(key, "__range").agg(F.count(F.lit(1)).alias("__n")).select(key, "__range", before.alias("__before"))
+    within = F.row_number().over(Window.partitionBy(key, "__range").orderBy(turn)) - 1
+    counted = ranged.withColumn("__within", within).join(starts, [key, "__range"])
+    placed = counted.withColumn("__place", F.col("__before") + F.col("__within"))
+    placed = placed.withColumn("__home", F.floor(F.col("__place") / stride))
     # The last turns of a stride also go to the next one, as context.
-    later = F.floor((F.col(turn) + back) / stride)
+    later = F.floor((F.col("__place") + back) / stride)
     spread = placed.withColumn("__stride", F.explode(F.array_distinct(F.array(F.col("__home"), later))))
-    w = Window.partitionBy(key, "__stride").orderBy(turn)
+    w = Window.partitionBy(key, "__stride").orderBy("__place")
     words = word_set(F.col(text))
     df = spread.withColumn("__words", words)
     df = df.withColumn("__p_words", F.lag("__words").over(w)).withColumn("__p_blocked", F.lag(blocked).over(w))
