@@ -126,6 +126,41 @@ def test_contaminated_matches_brute_force(spark):
     assert {r["doc_id"] for r in decontaminate.clean(docs, bench).collect()} == {d for d, _ in rows} - flagged
 
 
+def test_edits_at_the_ends_of_items_are_found_as_by_brute_force():
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 11))) for _ in range(300)]
+    heavy = [w for w in words if len(w) > 9]
+    items = [[rng.choice(heavy), *rng.choices(words, k=rng.randint(14, 58)), rng.choice(heavy)] for _ in range(60)]
+    texts = []
+    for item in items:
+        for _ in range(8):
+            own = list(item)
+            for _ in range(rng.randint(1, 3)):
+                at = rng.choice([0, 0, len(own) - 1, len(own) - 1, rng.randrange(len(own))])
+                own[at : at + rng.randint(0, 1)] = rng.choice([[], [rng.choice(words)]])
+            texts.append([*rng.choices(words, k=rng.randint(0, 9)), *own, *rng.choices(words, k=rng.randint(0, 9))])
+
+    def weights(own):
+        return Counter({k: n * sum(map(len, k)) for k, n in Counter(zip(*(own[i:] for i in range(5)))).items()})
+
+    wanted, expected, beyond = [weights(x) for x in items], {}, 0
+    prints = decontaminate.Items(list(range(60)), [" ".join(x) for x in items]).prints
+    for row, own in enumerate(texts):
+        for item, b in enumerate(wanted):
+            n, near = len(items[item]), False
+            for i in range(max(1, len(own) - n + 1)):
+                a = weights(own[i : i + n])
+                shared = (a & b).total()
+                if shared >= 0.8 * (a.total() + b.total() - shared):
+                    score = shared / (a.total() + b.total() - shared)
+                    expected[row, item] = max(score, expected.get((row, item), 0))
+                    near |= (decontaminate.Items([0], [" ".join(own[i : i + n])]).prints[0] ^ prints[item]).bit_count() <= decontaminate.RADIUS
+            beyond += (row, item) in expected and not near
+    found = decontaminate.Items(list(range(60)), [" ".join(x) for x in items]).matches(pa.array([" ".join(x) for x in texts]))
+    assert {(r[0], r[1]): r[2] for r in found} == pytest.approx(expected)
+    assert len(expected) > 200 and beyond > 2  # pairs that no fingerprint within the radius shows
+
+
 def test_decontamination_in_blocks_and_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(decontaminate.blocks, "__defaults__", (1,))
     bench = spark.createDataFrame([(1, "same text twice and a second line"), (2, "same text twice and a second line"), (3, "no id here")], "item_id long, text string")

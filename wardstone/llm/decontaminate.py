@@ -9,6 +9,11 @@ shingles, sum of smaller over sum of larger weights, must reach `least`. A shing
 A window without any shingle of an item has similarity 0 with it, so fingerprints are made only where a window of the
 item's length would hold one of its shingles. This test is exact and drops no pair that could be verified.
 
+No radius under about half of the bits is safe for every pair that reaches `least` (a few changed end words can turn any
+bit), so the fingerprints only propose. A window must also hold `least` of the item's weight, and so one of any shingles
+that weigh more than the rest: the rarest such shingles are the item's anchors. Where an anchor stands, every window whose
+shared weight could give more than the best similarity so far is verified as well. So no pair is lost at any radius.
+
 Items are a stated query set and are held against all documents in blocks of `BLOCK_ITEMS`; documents are never shuffled.
 
 Defined results: null and empty texts and items, and those without words, match nothing. Items of fewer than five words
@@ -18,7 +23,7 @@ row by itself. Extra columns are ignored by `contaminated` and kept by `clean`.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +38,8 @@ LEAST = 0.8
 RADIUS = 10
 BLOCK_ITEMS = 4096
 LONGEST_VOTE = 12
+#: For comparing quotients of whole numbers with each other.
+SLACK = 1e-9
 
 _BITS = np.arange(64, dtype=np.uint64)
 _EDGES = np.linspace(0, 64, RADIUS + 2).astype(int)
@@ -73,7 +80,8 @@ def similarity(a: dict[int, int], b: dict[int, int]) -> float:
 class Items:
     """A block of benchmark items, indexed by shingle and by blocks of their fingerprints."""
 
-    def __init__(self, ids: list, texts: list):
+    def __init__(self, ids: list, texts: list, least: float = LEAST):
+        self.least = least
         words = words_of(pa.array(texts, pa.string()))
         self.ids, self.sizes, self.weights, self.prints = ids, [], [], []
         self.of_size: dict[int, list[int]] = defaultdict(list)
@@ -93,6 +101,17 @@ class Items:
             self.of_size[size].append(at)
             for shingle in self.weights[-1]:
                 owners[shingle].add((width, size))
+        self.totals = [sum(own.values()) for own in self.weights]
+        holders = Counter(s for own in self.weights for s in own)
+        #: For each item the rarest shingles that weigh more than what a match may lack.
+        self.anchors: dict[int, list[int]] = defaultdict(list)
+        for at, own in enumerate(self.weights):
+            lacking = 0
+            for shingle in sorted(own, key=lambda s: (holders[s], s)):
+                if lacking > (1 - least) * self.totals[at] + SLACK:
+                    break
+                self.anchors[shingle].append(at)
+                lacking += own[shingle]
         self.sizes_of = {s: sorted(x[1] for x in pairs) for s, pairs in owners.items()}
         #: For each shingle width: the sorted shingles, and whether any has these low 22 bits.
         self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -124,10 +143,31 @@ class Items:
             found.update(zip(window[close].tolist(), item[close].tolist()))
         return found
 
-    def matches(self, texts: pa.Array, least: float) -> list[tuple[int, int, float, int, int]]:
+    def bounded(self, size: int, hits: np.ndarray, shingles: list[int], sums: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Item, windows and the most that their similarity can be, best first, for every item with an anchor among the hits.
+
+        hits are the places of shingles of items of this size, in order; sums are running weights of all shingles.
+        """
+        width = min(SHINGLE, size)
+        low, high = np.searchsorted(hits, begins), np.searchsorted(hits, ends - width + 1)
+        whole = sums[np.maximum(begins, ends - width + 1)] - sums[begins]
+        for item in sorted({i for s in set(shingles) for i in self.anchors.get(s, ()) if self.sizes[i] == size}):
+            own, total = self.weights[item], self.totals[item]
+            at = np.array([s in own for s in shingles])
+            held = np.concatenate([[0], np.cumsum(np.where(at, sums[hits + 1] - sums[hits], 0))])
+            shared = np.minimum(held[high] - held[low], total)
+            most = shared / (total + whole - shared)
+            windows = np.flatnonzero(most >= self.least - SLACK)
+            windows = windows[np.argsort(-most[windows], kind="stable")]
+            yield item, windows, most[windows]
+
+    def matches(self, texts: pa.Array) -> list[tuple[int, int, float, int, int]]:
         """Row, item, similarity, first word and number of words of the best window of every verified pair."""
         words = words_of(texts)
-        wanted: dict[tuple[int, int], list[int]] = defaultdict(list)
+        wanted: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        lengths = words.ends - words.starts
+        bytes_before = np.concatenate([[0], np.cumsum(lengths)])
+        sums = {w: np.concatenate([[0], np.cumsum(bytes_before[w:] - bytes_before[:-w])]) for w in self.known if len(lengths) >= w}
         for width, (values, quick) in self.known.items():
             hashes = runs(words.hashes, width)
             hits = np.flatnonzero(quick[(hashes & np.uint64(len(quick) - 1)).astype(np.int64)])
@@ -136,12 +176,17 @@ class Items:
             for at, shingle in zip(hits.tolist(), hashes[hits].tolist()):
                 for size in self.sizes_of[shingle]:
                     if min(SHINGLE, size) == width:
-                        wanted[int(words.rows[at]), size].append(at)
+                        wanted[int(words.rows[at]), size].append((at, shingle))
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        lengths = words.ends - words.starts
+
+        def verify(row: int, item: int, b: int, e: int) -> None:
+            score = similarity(shingle_weights(words.hashes[b:e], lengths[b:e], min(SHINGLE, self.sizes[item])), self.weights[item])
+            if score >= self.least:
+                best[row, item] = min(best.get((row, item), (0.0, 0, 0)), (-score, b - int(words.first[row]), e - b))
+
         for (row, size), hits in wanted.items():
             first, last = int(words.first[row]), int(words.first[row + 1])
-            width, at = min(SHINGLE, size), np.array(hits)
+            width, at = min(SHINGLE, size), np.array([x[0] for x in hits])
             begins = np.unique((at[:, None] + np.arange(width - size, 1)).ravel())
             begins = np.unique(np.clip(begins, first, max(first, last - size)))
             ends = np.minimum(begins + size, last)
@@ -152,25 +197,27 @@ class Items:
                     prints = fingerprints(votes(words.hashes[low:high], lengths[low:high]), begins[block] - low, ends[block] - low)
                     for window, item in self.near(size, prints):
                         b, e = int(begins[block[window]]), int(ends[block[window]])
-                        if e - b < width:
-                            continue
-                        score = similarity(shingle_weights(words.hashes[b:e], lengths[b:e], width), self.weights[item])
-                        if score >= least:
-                            best[row, item] = min(best.get((row, item), (0.0, 0, 0)), (-score, b - first, e - b))
+                        if e - b >= width:
+                            verify(row, item, b, e)
+            for item, windows, most in self.bounded(size, at, [x[1] for x in hits], sums[width], begins, ends):
+                for window, reach in zip(windows.tolist(), most.tolist()):
+                    if reach < -best.get((row, item), (0.0, 0, 0))[0] - SLACK:
+                        break
+                    verify(row, item, int(begins[window]), int(ends[window]))
         return [(row, item, -score, at, n) for (row, item), (score, at, n) in sorted(best.items())]
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[Items]:
+def blocks(benchmark: DataFrame, least: float, size: int = BLOCK_ITEMS) -> Iterator[Items]:
     """The benchmark in blocks of so many items."""
     ids, texts = [], []
     for row in benchmark.select("item_id", "text").toLocalIterator():
         ids.append(row[0])
         texts.append(row[1])
         if len(ids) == size:
-            yield Items(ids, texts)
+            yield Items(ids, texts, least)
             ids, texts = [], []
     if ids:
-        yield Items(ids, texts)
+        yield Items(ids, texts, least)
 
 
 _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())])
@@ -179,11 +226,11 @@ _FOUND = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("similarit
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, item_id, similarity, first_word, n_words: the best window of every document that holds an item."""
     found = None
-    for items in blocks(benchmark):
+    for items in blocks(benchmark, least):
 
         def of(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches):
-                rows = items.matches(batch.column("text"), least)
+                rows = items.matches(batch.column("text"))
                 ids = batch.column("doc_id")
                 if rows:
                     columns = [[ids[r[0]].as_py() for r in rows], [items.ids[r[1]] for r in rows], *([r[i] for r in rows] for i in (2, 3, 4))]
@@ -198,12 +245,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
 
 def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """docs without the documents that hold an item."""
-    for items in blocks(benchmark):
+    for items in blocks(benchmark, least):
 
         def of(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
             for batch in pieces(batches):
                 keep = np.ones(batch.num_rows, dtype=bool)
-                keep[[r[0] for r in items.matches(batch.column("text"), least)]] = False
+                keep[[r[0] for r in items.matches(batch.column("text"))]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(of, docs.schema)
