@@ -323,6 +323,26 @@ def test_salvage_of_whole_empty_and_hopeless_files():
     assert [x.kind for x in read(b"junk" + mixed + b"\0" * 10)] == ["gap", "record", "record", "record", "gap"]
 
 
+@pytest.mark.parametrize("block", [700, 1 << 20])
+def test_heads_of_any_length_are_read(spark, tmp_path, monkeypatch, block):
+    monkeypatch.setattr(warc, "READ_BYTES", block)
+    urls = ["http://x/", "data:," + "u" * 200_000, "data:," + "\n" * 30_000, "http://y/"]
+    digest = __import__("hashlib").sha256(b"<p>").hexdigest()
+    records = [warc.record(i, url, b"<p>", digest, None) for i, url in enumerate(urls)]
+    plain = [gzip.decompress(r) for r in records]
+    for data in (records, plain, [plain[0], records[1], plain[2], records[3]], [records[0], plain[1], records[2], plain[3]]):
+        found = read(b"".join(data))
+        assert [(x.kind, x.headers["warc-record-id"]) for x in found] == [("record", f"<urn:page:{i}>") for i in range(4)]
+        assert [len(x.headers["warc-target-uri"]) for x in found] == [9, 200_006, 90_006, 9]
+    for cut_off in (plain[1][:150_000], plain[1][:50]):  # a head without end gives way to the next record or member
+        for after in (records[3], plain[3]):
+            assert [(x.kind, x.end) for x in read(cut_off + after)] == [("gap", len(cut_off)), ("record", len(cut_off + after))]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "'<p>' AS html")
+    warc.write_archives(pages, f"file://{tmp_path}/made")
+    entries = warc.read_archives(spark, f"file://{tmp_path}/made", with_payload=False)
+    assert sorted(r["page_id"] for r in warc.pages_of(entries).collect()) == [0, 1, 2, 3]
+
+
 def test_archives_round_trip_with_odd_pages(spark, tmp_path):
     big = "x" * 3_000_000
     rows = [(5, "http://a b\r\nc", "y" * 200), (2, None, "y" * 200), (9, "u", "y" * 200), (2, "u", "y" * 200), (None, "u", "z" * 150), (1, "u", None), (3, "u", ""), (4, "u", "short"), (6, "u", "short"), (7, "u", big)]

@@ -2,9 +2,10 @@
 
 Records are gzip members of their own, one after the other, as archives usually are; plain records are read as well. The
 reader checks each record in turn: the member must inflate whole, its head must begin with a version line and carry a
-length that the block has, and a stated payload digest must hold. After a failed check it searches on from the next byte
-for a gzip member that inflates to a version line, or for a plain version line, takes reading up again there, and logs
-the bytes between as a quarantined gap. Files are streamed in blocks: memory follows the longest record, not the archive.
+length that the block has, and a stated payload digest must hold. A head may be of any length. After a failed check it
+searches on from the next byte for a gzip member that inflates to a version line, or for a plain version line, takes
+reading up again there, and logs the bytes between as a quarantined gap. Files are streamed in blocks: memory follows the
+longest record, not the archive.
 
 Files are written and read by the tasks themselves, in a folder that all executors share. A task writes under a name of
 its own attempt and renames at the end, so a task that runs twice leaves one whole file.
@@ -34,7 +35,6 @@ READ_BYTES = 1 << 20
 VERSION = re.compile(rb"WARC/\d\.\d\r\n")
 MEMBER = b"\x1f\x8b\x08"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
-LONGEST_HEAD = 1 << 16
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -151,11 +151,11 @@ def parsed(data: bytes) -> tuple[dict[str, str], int, int]:
     """Headers, and begin and end of the block of a record that begins here."""
     if not VERSION.match(data):
         raise Bad("no version line")
-    stop = data.find(b"\r\n\r\n", 0, LONGEST_HEAD)
+    stop = data.find(b"\r\n\r\n")
+    if VERSION.search(data, 1, stop if stop >= 0 else len(data)):
+        raise Bad("another record in the head")
     if stop < 0:
         raise Bad("no end of the head")
-    if VERSION.search(data, 1, stop):
-        raise Bad("another record in the head")
     headers = {}
     for line in bytes(data[:stop]).decode("utf-8", "replace").split("\r\n")[1:]:
         name, colon, value = line.partition(":")
@@ -195,6 +195,26 @@ def inflated(window: Window, at: int) -> tuple[bytes, int]:
     return bytes(out), to
 
 
+_START = re.compile(re.escape(MEMBER) + rb"|WARC/\d\.\d\r\n")
+
+
+def head(window: Window, at: int) -> bytes:
+    """The bytes of a plain record from `at` to the end of its head, or to where another record or member begins."""
+    seen, whole = 1, READ_BYTES
+    while True:
+        more = window.reach(at + whole)
+        begin, end = at - window.base, len(window.held)
+        if window.held[begin : begin + 5] != b"WARC/":
+            return bytes(window.held[begin : begin + 10])
+        stop = window.held.find(b"\r\n\r\n", begin + seen)
+        other = _START.search(window.held, begin + seen, stop if stop >= 0 else end)
+        if other:
+            return bytes(window.held[begin : other.end()])
+        if stop >= 0 or not more:
+            return bytes(window.held[begin : stop + 4 if stop >= 0 else end])
+        seen, whole = max(1, end - begin - 16), 2 * whole
+
+
 def one_record(window: Window, at: int) -> Found:
     """The record at this byte, or the check that failed."""
     window.reach(at + len(MEMBER))
@@ -204,17 +224,13 @@ def one_record(window: Window, at: int) -> Found:
         if data[stop:] != b"\r\n\r\n":
             raise Bad("length")
         return Found(at, end, "record", headers, checked(headers, data[begin:stop]))
-    window.reach(at + LONGEST_HEAD)
-    headers, begin, stop = parsed(window.held[at - window.base : at - window.base + LONGEST_HEAD])
+    headers, begin, stop = parsed(head(window, at))
     if not window.reach(at + stop + 4) or window.held[at + stop - window.base : at + stop + 4 - window.base] != b"\r\n\r\n":
         raise Bad("length")
     block = bytes(window.held[at + begin - window.base : at + stop - window.base])
     return Found(at, at + stop + 4, "record", headers, checked(headers, block))
 
 
-_START = re.compile(re.escape(MEMBER) + rb"|WARC/\d\.\d\r\n")
-
-
 def salvaged(stream) -> Iterator[Found]:
     """Records and gaps of one archive, in order; they cover every byte once."""
     window, at, lost, reason = Window(stream), 0, None, ""
@@ -258,7 +274,7 @@ def _entries(folder: str, with_payload: bool):
                     for x in salvaged(stream):
                         digest = hashlib.sha256(x.payload).hexdigest() if x.kind == "record" else None
                         rows.append((path, x.begin, x.end, x.kind, x.reason, list(x.headers.items()), len(x.payload), digest, x.payload if with_payload else None))
-                        size += len(x.payload) if with_payload else 0
+                        size += sum(map(len, x.headers.values())) + (len(x.payload) if with_payload else 0)
                         if size >= READ_BYTES or len(rows) >= 2000:
                             yield batch_of(rows)
                             rows, size = [], 0
