@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
 from tests.llm import odd
@@ -84,6 +85,38 @@ def test_near_dedup_finds_every_link(spark, monkeypatch, short, block):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in out)
 
 
+@pytest.mark.parametrize("part", [40, 1000])
+def test_long_lists_in_ranges_of_values(spark, monkeypatch, part):
+    for name, value in (("SHORT", 1), ("BLOCK", 9), ("PART", part)):
+        monkeypatch.setattr(near_dedup, name, value)
+    texts = near_texts(random.Random(6))
+    out = near_dedup.near_duplicates(frame(spark, texts), width=2).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out} == groups_of(texts, 2)
+
+
+def test_cells_hold_one_range_and_are_few(spark, monkeypatch):
+    rng = random.Random(7)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join(w if rng.random() > 0.05 else f"x{rng.random()}" for w in base) for _ in range(60)]
+    keys = [(0, 0, 0, 0, i, i, 30) for i in range(60)]
+    rows = pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in zip(*keys)), pa.array(texts)], names=["low", "high", "x", "y", "id", "uid", "parts", "text"])
+    held, overlaps = [], near_dedup._overlaps
+    monkeypatch.setattr(near_dedup, "_overlaps", lambda sets: held.append(sum(map(len, sets))) or overlaps(sets))
+    slices = pa.Table.from_batches(near_dedup._sliced(2)([rows])).sort_by("part").to_batches()
+    links = [x for b in near_dedup._linked(iter(slices)) for x in zip(*b.to_pydict().values())]
+    whole = sum(b - a for a, b in zip(*(lambda f: (f[:-1], f[1:]))(near_dedup.shingle_sets(pa.array(texts), 2)[1])))
+    assert len(held) == 30 and sum(held) == whole and max(held) < whole / 8
+    expected, group = groups_of(texts, 2), list(range(60))
+    for a, b in links:
+        low, high = sorted((group[a], group[b]))
+        group = [low if g == high else g for g in group]
+    assert group == [expected[i][1] for i in range(60)] and len(links) > 5
+    values, first = near_dedup.shingle_sets(pa.array(texts), 2)
+    sets = [(i, int(first[i + 1] - first[i]), [int(v) for v in near_dedup.signed(values[first[i] : first[i + 1]][:64])]) for i in range(60)]
+    lists = near_dedup._lists(spark.createDataFrame(sets, "id long, n long, sketch array<long>"))
+    assert near_dedup._cells(lists.where("m > 16")).count() < 60 * 12  # in place of one for each of its lists
+
+
 def test_near_dedup_takes_odd_rows(spark):
     out = near_dedup.near_duplicates(odd.docs(spark)).collect()
     assert len(out) == 13
