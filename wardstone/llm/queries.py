@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardstone.llm import chat, decontaminate, line_dedup, near_dedup, packing, simhash, suffix_dedup, surrogates, toxicity, warc
+from wardstone.llm import chat, decontaminate, hard_negatives, lexical, line_dedup, mtree, near_dedup, packing, simhash, suffix_dedup, surrogates
+from wardstone.llm import toxicity, vectors, warc
 from wardstone.llm.storage import shared_folder
 from wardstone.sources.tables import read_table, spread
 
@@ -186,3 +187,80 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every span of every document that repeats passages which stood before."""
     return suffix_dedup.repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def _scaled_sql(by: int) -> str:
+    return f"""
+v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({by} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+_TOP_SQL = f"""
+WITH {_scaled_sql(1024)},
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) WHERE rank <= 10"""
+
+
+@query("op11_exact_topk", _TOP_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors with the highest product of every hundredth one."""
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    rows = rows.where(vectors.whole(F.col("embedding"))).select("vec_id", vectors.scaled(F.col("embedding"), 1024).alias("v"))
+    return mtree.top_k(rows, F.col("vec_id") % 100 == 0, 10)
+
+
+_NEGATIVES_SQL = f"""
+WITH {_scaled_sql(256)},
+l AS (SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM v WHERE label IS NOT NULL),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM l a JOIN l c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM scores WHERE same) WHERE r <= 5),
+negatives AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 5"""
+
+
+@query("op12_hard_negatives", _NEGATIVES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").where(vectors.whole(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select("vec_id", label.alias("label"), vectors.scaled(F.col("embedding"), 256).alias("v"))
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
+
+
+_RANKED_SQL = """
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+i AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+sizes AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+m AS (SELECT doc_id, 100 - 75 + (75 * n * docs) // terms AS m FROM sizes, s),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, docs),
+it AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+scores AS (
+  SELECT item_id, tf.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM it JOIN tf USING (term) JOIN w USING (term) JOIN m ON m.doc_id = tf.doc_id GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 10"""
+
+
+@query("op13_lexical_search", _RANKED_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical.ranked(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
