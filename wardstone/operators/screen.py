@@ -165,19 +165,6 @@ def decoded_texts(text: Column) -> Column:
     return F.filter(both, lambda t: t.isNotNull() & t.rlike("[A-Za-z]{3}"))
 
 
-def encoding_bypass(df: DataFrame, text_col: str, rules: list[Rule], out_col: str = "findings") -> DataFrame:
-    """Findings of a text once decoded: base64, hex, Atbash, and every Caesar shift."""
-    text = F.col(text_col)
-    views = [atbash(text)] + [caesar(text, k) for k in range(1, 26)]
-    decoded = F.array_join(decoded_texts(text), "\n")
-    df = df.withColumn("__views", F.array_join(F.array(*views), "\n"))
-    df = df.withColumn("__decoded", decoded)
-    df = apply_rules(df, "__views", rules, "__cipher", "cipher")
-    df = apply_rules(df, "__decoded", rules, "__encoded", "encoding")
-    merged = F.concat("__encoded", "__cipher").cast(FINDINGS)
-    return df.withColumn(out_col, merged).drop("__views", "__decoded", "__cipher", "__encoded")
-
-
 def deobfuscated(text: Column) -> Column:
     """Text with spaced-out letters joined and digits that stand for letters replaced."""
     joined = F.regexp_replace(text, r"(?<![A-Za-z0-9])([A-Za-z0-9@$]) (?=[A-Za-z0-9@$](?![A-Za-z0-9]))", "$1")
@@ -185,30 +172,7 @@ def deobfuscated(text: Column) -> Column:
 
 
 SPACED = r"(?<![A-Za-z0-9])[A-Za-z0-9@$] [A-Za-z0-9@$](?![A-Za-z0-9])"
-LEET_WORD = r"[A-Za-z][013457@$][A-Za-z]|\b[013457@$][A-Za-z]{2}"
-
-
-def disguised(df: DataFrame, text_col: str, found_col: str, rules: list[Rule], location: str | None = None) -> DataFrame:
-    """Adds to the findings of a text those of its disguises; texts that have findings already are passed over.
-
-    Look-alike and invisible characters are folded, base64 and hexadecimal runs decoded, spaced-out letters joined and
-    digits read as letters. Each is tried only where a quick test says that there is something to undo, and the rules
-    run once over what came of it.
-    """
-    keep = df.columns
-    text = F.when(F.size(found_col) == 0, F.col(text_col))
-    df = df.withColumn("__open", text)
-    df = df.withColumns(
-        {
-            "__folded": F.when(F.col("__open").rlike(SUSPECT), F.translate(F.regexp_replace("__open", INVISIBLE, ""), LOOKALIKES, LOOKS_LIKE)),
-            "__decoded": F.when(F.col("__open").rlike("[A-Za-z0-9+/]{16}"), F.array_join(decoded_texts(F.col("__open")), "\n")),
-        }
-    )
-    plain = F.coalesce("__folded", "__open")
-    df = df.withColumn("__joined", F.when(plain.rlike(f"{SPACED}|{LEET_WORD}"), deobfuscated(plain)))
-    df = df.withColumn("__undone", F.concat_ws("\n", "__folded", "__decoded", "__joined"))
-    df = apply_rules(df, "__undone", rules, "__more", location)
-    return df.withColumn(found_col, F.concat(found_col, "__more")).select(*keep)
+LEET_WORD = r"[A-Za-z][013457@$]|[013457@$][A-Za-z]"
 
 
 def scramble_key(word: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wardstone.functions import mapping
 from wardstone.functions.text import java_pattern, missing
-from wardstone.operators import approvals, domains, files, findings, intel, redact, screen, sessions, validate, verdict
+from wardstone.operators import approvals, cascade, domains, files, findings, intel, redact, screen, sessions, validate, verdict
 from wardstone.operators.findings import only
 from wardstone.sources import fixed_values as fixed
 from wardstone.sources import rules as packs
@@ -41,6 +41,11 @@ RESULT = [
 ]
 
 
+def _depth(req: DataFrame) -> Column | None:
+    """The deepest layer of each request, where requests name their tier."""
+    return cascade.tier_depth(F.col("tier")) if "tier" in req.columns else None
+
+
 def _finish(df: DataFrame, internal: bool, *carry: str) -> DataFrame:
     """The verdict, or the internal result it would be built from."""
     return df.select("row_id", *RESULT) if internal else verdict.build_verdict(df, "row_id", *carry)
@@ -73,23 +78,23 @@ def _special_result(df: DataFrame, tool: str, found: str, message: str, confiden
 def scan_prompts(
     req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None, internal: bool = False
 ) -> DataFrame:
-    """Verdict per prompt, with the redacted content, its tokens and a summary where asked for."""
+    """Verdict per prompt, with the redacted content, its tokens and a summary where asked for.
+
+    Content and context go through the layers of ``cascade``; ``decided_by`` names the one that decided. A column
+    ``tier`` cuts the layers off that the tier does not have.
+    """
     rules = packs.PROMPT if rules is None else rules
     df = _start(req)
     too_big = validate.size_error(validate.text_size(F.col("content"), F.col("context")))
     df = df.withColumn("__size", too_big).withColumns(_guarded(F.col("__size"), "content", "context"))
     df = redact.redact_request(df, "__content", "__context", catalogue, F.col("redact_pii"))
-    df = screen.apply_rules(df, "masked_content", rules, "__f1", "content")
-    df = screen.apply_rules(df, "masked_context", rules, "__f2", "context")
-    df = screen.disguised(df, "masked_content", "__f1", rules, "content")
-    df = screen.disguised(df, "masked_context", "__f2", rules, "context")
     size = F.when(F.col("__size").isNotNull(), verdict.size_finding(F.col("__size")))
-    df = df.withColumn("__found", F.concat(only(size), "__f1", "__f2"))
+    df = cascade.screened(df, [("masked_content", "content"), ("masked_context", "context")], rules, "__found", depth=_depth(req), before=only(size))
     df = df.withColumn("redacted_content", F.when(F.col("pii_detected"), F.col("redacted_content")))
     df = df.withColumn("redaction_summary", redact.summary_map(F.col("redactions")))
     return _finish(
         _scan_result(df, "scan_prompt", "__found"), internal, "pii_detected", "redacted_content", "redaction_count",
-        "redactions", "redaction_summary",
+        "redactions", "redaction_summary", "decided_by",
     )
 
 
@@ -100,7 +105,8 @@ def scan_responses(
     """Verdict per response; those that pass are rehydrated from their tokens.
 
     Checks the response with rules, for personal data the prompt did not have, for a change of
-    topic or tone (both only flagged), and for parts of ``system_prompt`` where that is given.
+    topic or tone (both only flagged), and for parts of ``system_prompt`` where that is given. The rules also go through
+    the layers of ``cascade``; a ``tier`` without response layers gets none of the other checks.
     """
     rules = [*packs.LEAK, *packs.TOXIC, *packs.SECRETS] if rules is None else rules
     df = _start(req)
@@ -111,7 +117,11 @@ def scan_responses(
     masked = redact.mask_tokens_and_originals
     df = df.withColumn("__r", masked(F.col("__response"), F.col("__tokens")))
     df = df.withColumn("__p", masked(F.coalesce("__original_prompt", F.lit("")), F.col("__tokens")))
-    df = screen.apply_rules(df, "__r", rules, "__f1", "response")
+    size = F.when(F.col("__size").isNotNull(), verdict.size_finding(F.col("__size")))
+    df = cascade.screened(df, [("__r", "response")], rules, "__f1", depth=_depth(req), before=only(size))
+    if "tier" in req.columns:  # the checks below read nothing where the tier lacks them
+        on = cascade.tier_depth(F.col("tier")) >= cascade.RESPONSE_DEPTH
+        df = df.withColumns({c: F.when(on, F.col(c)) for c in ("__r", "__p", *(["system_prompt"] if "system_prompt" in req.columns else []))})
     df = redact.find_spans(df, "__r", "__rs", catalogue)
     df = redact.find_spans(df, "__p", "__ps", catalogue)
     df = df.withColumn("__leaked", screen.leaked_originals(F.col("__ps"), F.col("__rs")))
@@ -127,7 +137,6 @@ def scan_responses(
         )
         for kind, words in tones.items()
     ]
-    size = F.when(F.col("__size").isNotNull(), verdict.size_finding(F.col("__size")))
     leaked = F.when(
         F.size("__leaked") > 0,
         findings.finding("unexpected_pii_leakage", "high", 0.9, "block", "L8", "Personal data not in the prompt", "pii-diff", "Response data"),
@@ -143,8 +152,8 @@ def scan_responses(
             F.coalesce(held, F.lit(0.0)) >= leak_limit,
             findings.finding("system_prompt_leak", "critical", 0.9, "block", "L8", "Repeats the system prompt", "prompt-leak", "Response leak"),
         )
-    df = df.withColumn("__found", F.concat(only(size), F.col("__f1"), only(leaked, off_topic, *drift, prompt_leak)))
-    out = _finish(_scan_result(df, "scan_response", "__found"), internal, "response", "__tokens")
+    df = df.withColumn("__found", F.concat(F.col("__f1"), only(leaked, off_topic, *drift, prompt_leak)))
+    out = _finish(_scan_result(df, "scan_response", "__found"), internal, "response", "__tokens", "decided_by")
     if internal:
         return out
     restored = redact.rehydrate(F.col("response"), F.col("__tokens"))
@@ -244,16 +253,16 @@ def scan_searches(
 def scan_messages(
     req: DataFrame, catalogue: Catalogue = None, rules: list[Rule] | None = None, internal: bool = False
 ) -> DataFrame:
-    """Verdict per message between agents."""
+    """Verdict per message between agents, by the layers of ``cascade`` and for personal data."""
     rules = packs.MESSAGE if rules is None else rules
-    df = screen.apply_rules(_start(req), "message", rules, "__rules")
+    df = cascade.screened(_start(req), [("message", "message")], rules, "__rules", depth=_depth(req))
     df = redact.find_spans(df, "message", "__spans", catalogue)
     df = df.withColumn("__found", F.concat(F.col("__rules"), screen.pii_findings(F.col("__spans"))))
     df = df.withColumn("message_length", validate.text_size(F.col("message")))
     df = _special_result(
         df, "scan_a2a_message", "__found", "A2A message security issue detected", mapping.confidence_or_half
     )
-    return _finish(df, internal, "message_length")
+    return _finish(df, internal, "message_length", "decided_by")
 
 
 CARD = (
@@ -362,7 +371,7 @@ def scan(req: DataFrame, enabled: list[str] | None = None) -> DataFrame:
     results = None
     for tool, job in SCANS.items():
         mine = df.filter(F.col("error").isNull() & (F.col("tool") == tool))
-        mine = conform(mine, tool, *(["ts"] if "ts" in given else []))
+        mine = conform(mine, tool, *(c for c in ("ts", "tier") if c in given))
         part = job(mine, internal=True)
         results = part if results is None else results.unionByName(part)
     verdicts = verdict.build_verdict(results, "row_id", "tool").withColumn("error", F.lit(None).cast("string"))
