@@ -17,6 +17,7 @@ from checks.views import (
     BYPASSES, CARDS, COMMANDS, FINDINGS, MESSAGES, PATHS, SEARCHES, SQL_TEXT, TURNS, duck_view, spark_view,
 )
 from wardstone.operators import cascade, compliance, redact, screen
+from wardstone.operators.rule_table import apply_rule_table
 from wardstone.plans import jobs
 from wardstone.sources import fixed_values as fixed
 from wardstone.sources import rules as packs
@@ -79,6 +80,25 @@ def b1(spark, d):
     return rule_rows(screen.apply_rules(attacked(spark, d), "text", packs.PROMPT), "row_id")
 
 
+# A rule for each pair of neighbouring words that two or three documents share: tens of thousands of rules.
+_WORD_PAIRS = """words AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9_]+') AS w FROM documents),
+  pairs AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pair FROM words),
+  rules AS (SELECT pair FROM pairs GROUP BY pair HAVING count(*) BETWEEN 2 AND 3)"""
+
+
+@check("b1_rule_table", "WITH " + _WORD_PAIRS + " SELECT doc_id AS row_id, 'pair ' || pair AS rule_id, 'context_poisoning' AS type, 'medium' AS severity, 0.7::DOUBLE AS confidence, 'flag' AS action FROM pairs JOIN rules USING (pair)")
+def b1_table(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text")
+    words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9_]+)"), F.lit(1))
+    pairs = docs.select("doc_id", words.alias("w")).select(
+        "doc_id", F.explode(F.array_distinct(F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))).alias("p"))
+    shared = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n BETWEEN 2 AND 3")
+    rules = shared.select(
+        F.concat_ws(" ", F.lit("pair"), "p.a", "p.b").alias("rule_id"), F.lit("context_poisoning").alias("threat_type"), F.lit("medium").alias("severity"), F.lit(0.7).alias("confidence"),
+        F.concat(F.lit(r"\b"), "p.a", F.lit(r"[^a-z0-9_]+"), "p.b", F.lit(r"\b")).alias("pattern"))
+    return rule_rows(apply_rule_table(docs.withColumnRenamed("doc_id", "row_id"), "text", rules), "row_id")
+
+
 _pack("b6_sql_rules", SQL_TEXT, "query", packs.SQL,
       lambda: {r.rule_id: "allow_destructive" for r in packs.SQL_DESTRUCTIVE},
       {r.rule_id: "NOT coalesce(allow_destructive, false)" for r in packs.SQL_DESTRUCTIVE})

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -29,15 +30,15 @@ except ImportError:  # pragma: no cover
 SEED, DEPTH = 4, 16
 #: Bytes searched at a time.
 SPAN = 1 << 18
-#: A set of more literals than this is no help.
-MOST_LITERALS = 64
+#: A set of more literals than this is no help; a literal after more characters than this has no bounded place.
+MOST_LITERALS, MOST_BEFORE = 64, 16
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def python_pattern(pattern: str, ignore_case: bool = True) -> re.Pattern:
-    """An ECMAScript pattern for Python's engine: ASCII word characters and cases, ECMAScript white space."""
+def python_text(pattern: str) -> str:
+    """An ECMAScript pattern as Python reads it, given ASCII word characters."""
     out, in_class = [], False
     for token in re.findall(r"\\.|\[\^?|\]|.", pattern, re.S):
         if token.startswith("[") and not in_class:
@@ -51,7 +52,7 @@ def python_pattern(pattern: str, ignore_case: bool = True) -> re.Pattern:
         elif token == r"\S" and not in_class:
             token = f"[^{SPACE}]"
         out.append(token)
-    return re.compile("".join(out), re.ASCII | (re.IGNORECASE if ignore_case else 0))
+    return "".join(out)
 
 
 def _weight(found: frozenset[str] | None, letters: bool) -> float:
@@ -62,69 +63,114 @@ def _weight(found: frozenset[str] | None, letters: bool) -> float:
     return min(sizes) - len(found) / (4 * MOST_LITERALS)
 
 
-def _options(parsed, letters: bool) -> list[frozenset[str]]:
-    """Sets of literals; every match of a parsed sequence holds one of each set."""
-    options: list[frozenset[str]] = []
-    run: list[str] = [""]  # all forms of the literals that follow each other
+def _lower(codes: Iterable[int]) -> str:
+    return "".join(chr(c).lower() if c < 128 else chr(c) for c in codes)
 
-    def close() -> None:
-        nonlocal run
+
+_WORD_CHARACTERS = "abcdefghijklmnopqrstuvwxyz0123456789_"
+
+
+def _apart(op, value) -> bool:
+    """Whether a parsed element is one character, and never an ASCII letter, digit or underscore of either case."""
+    if op is not _c.IN:
+        return False
+
+    def has(c: str) -> bool:
+        for kind, v in value:
+            if kind is _c.LITERAL and chr(v) == c or kind is _c.RANGE and v[0] <= ord(c) <= v[1]:
+                return True
+            if kind is _c.CATEGORY:
+                if v is _c.CATEGORY_WORD or v is _c.CATEGORY_NOT_SPACE or (v is _c.CATEGORY_DIGIT) == c.isdigit() and v in (_c.CATEGORY_DIGIT, _c.CATEGORY_NOT_DIGIT):
+                    return True
+        return False
+
+    negated = value[0][0] is _c.NEGATE
+    return all((has(c) or has(c.upper())) == negated for c in _WORD_CHARACTERS)
+
+
+def spaced(text: str) -> str:
+    """A lower-case text with each run of other characters than ASCII letters, digits and underscores as one space."""
+    return re.sub("[^a-z0-9_]+", " ", text)
+
+
+def _options(parsed, letters: bool, spaces: bool = False) -> list[tuple[frozenset[str], int]]:
+    """Sets of literals, every match of a parsed sequence holding one of each, and the place in the sequence where the
+    set's literals begin. With ``spaces`` they are literals of spaced texts, and go on over what stands between words."""
+    options: list[tuple[frozenset[str], int]] = []
+    run, begin = [""], 0  # all forms of the literals that follow each other, and where they begin
+
+    def close(then: int) -> None:
+        nonlocal run, begin
         if run != [""]:
-            options.append(frozenset(run))
-        run = [""]
+            forms = [spaced(x) for x in run] if spaces else run
+            opened = any(x.startswith(" ") for x in forms) and spaces  # it may begin anywhere between two words
+            options.append((frozenset(x.lstrip(" ") if spaces else x for x in forms), -1 if opened else begin))
+        run, begin = [""], then
 
-    for op, value in parsed:
-        if op is _c.LITERAL and value < 0x110000:
-            run = [x + chr(value).lower() if value < 128 else x + chr(value) for x in run]
-            continue
+    for i, (op, value) in enumerate(parsed):
         if op is _c.AT:
             continue
+        tails = None
+        if op is _c.LITERAL:
+            tails = [_lower([value])]
+        elif op is _c.SUBPATTERN and all(o is _c.LITERAL for o, _ in value[-1]):
+            tails = [_lower(v for _, v in value[-1])]
+        elif op is _c.BRANCH and all(o is _c.LITERAL for branch in value[1] for o, _ in branch) and len(run) * len(value[1]) <= MOST_LITERALS:
+            tails = [_lower(v for _, v in branch) for branch in value[1]]
+        elif spaces and (_apart(op, value) or op in (_c.MAX_REPEAT, _c.MIN_REPEAT) and value[0] >= 1 and len(value[2]) == 1 and _apart(*value[2][0])):
+            tails = [" "]
+        if tails is not None:
+            if run == [""]:
+                begin = i
+            run = [x + tail for x in run for tail in tails]
+            continue
+        close(i + 1)
+        found = None
         if op is _c.BRANCH:
-            each = [list(branch) for branch in value[1]]
-            plain = [x for x in each if all(o is _c.LITERAL for o, _ in x)]
-            if len(plain) == len(each) and len(run) * len(each) <= MOST_LITERALS:
-                tails = ["".join(chr(v).lower() if v < 128 else chr(v) for _, v in x) for x in each]
-                run = [x + tail for x in run for tail in tails]
-                continue
-            close()
-            found = [_needed(branch, letters) for branch in value[1]]
-            if all(found):
-                options.append(frozenset().union(*found))
+            each = [_needed(branch, letters, spaces) for branch in value[1]]
+            found = frozenset().union(*each) if all(each) else None
         elif op is _c.SUBPATTERN:
-            inner = list(value[-1])
-            if all(o is _c.LITERAL for o, _ in inner):
-                run = [x + "".join(chr(v).lower() if v < 128 else chr(v) for _, v in inner) for x in run]
-                continue
-            close()
-            found = _needed(value[-1], letters)
-            if found:
-                options.append(found)
+            found = _needed(value[-1], letters, spaces)
         elif op in (_c.MAX_REPEAT, _c.MIN_REPEAT) and value[0] >= 1:
-            close()
-            found = _needed(value[2], letters)
-            if found:
-                options.append(found)
-        else:
-            close()
-    close()
-    return [x for x in options if _weight(x, letters) > 0]
+            found = _needed(value[2], letters, spaces)
+        if found:
+            options.append((found, -1))  # somewhere within
+    close(len(parsed))
+    return [(x, at) for x, at in options if _weight(x, letters) > 0]
 
 
-def _needed(parsed, letters: bool) -> frozenset[str] | None:
-    return max(_options(parsed, letters), key=lambda x: _weight(x, letters), default=None)
+def _needed(parsed, letters: bool, spaces: bool) -> frozenset[str] | None:
+    return max((x for x, _ in _options(parsed, letters, spaces)), key=lambda x: _weight(x, letters), default=None)
 
 
-def required(pattern: str, letters: bool = False) -> list[frozenset[str]]:
-    """Sets of lower-case literals, the most selective first; every match of a pattern holds one of each set.
+@dataclass(frozen=True)
+class Needed:
+    """Lower-case literals of which every match holds one; the characters before it in the match, where bounded."""
+
+    literals: frozenset[str]
+    before: tuple[int, int] | None
+
 
-    ``letters`` asks for literals that all have letters, and ranks them by those. The list is empty where a pattern has
-    no literal part, or none that can be read.
+def needed(pattern: str, letters: bool = False, spaces: bool = False) -> list[Needed]:
+    """The sets of literals of a pattern, the most selective first. Raises ``re.error`` for what is no expression.
+
+    ``letters`` asks for literals that all have letters, and ranks them by those; ``spaces`` for literals of ``spaced``
+    texts. The list is empty where a pattern has no literal part.
     """
+    parsed = _parser.parse(python_text(pattern), re.ASCII)
+    found = []
+    for literals, at in _options(parsed, letters, spaces):
+        low, high = parsed[:at].getwidth() if at >= 0 else (0, MOST_BEFORE + 1)
+        found.append(Needed(literals, (low, high) if high <= MOST_BEFORE else None))
+    return sorted(found, key=lambda x: (-_weight(x.literals, letters), sorted(x.literals)))
+
+
+def required(pattern: str, letters: bool = False) -> list[frozenset[str]]:
+    """The sets of literals alone; none where a pattern cannot be read."""
     try:
-        parsed = _parser.parse(python_pattern(pattern, False).pattern, re.ASCII)
+        return [x.literals for x in needed(pattern, letters)]
     except (re.error, OverflowError, RecursionError):
         return []
-    return sorted(_options(parsed, letters), key=lambda x: (-_weight(x, letters), sorted(x)))
 
 
 class Literals:
