@@ -17,6 +17,7 @@ from checks.views import (
     BYPASSES, CARDS, COMMANDS, FINDINGS, MESSAGES, PATHS, SEARCHES, SQL_TEXT, TURNS, duck_view, spark_view,
 )
 from wardstone.operators import cascade, compliance, redact, screen
+from wardstone.operators.exemplars import nearest_exemplars
 from wardstone.operators.rule_table import apply_rule_table
 from wardstone.plans import jobs
 from wardstone.sources import fixed_values as fixed
@@ -193,7 +194,18 @@ def b4_words(spark, d):
 def b5(spark, d):
     v = table(spark, d, "embeddings")
     exemplars = v.groupBy(F.col("label").cast("long").alias("exemplar")).agg(F.min_by("embedding", "vec_id").alias("embedding"))
-    return screen.nearest_exemplars(v, exemplars, "vec_id", "embedding", 0.2)
+    return nearest_exemplars(v, exemplars, "vec_id", "embedding", 0.2)
+
+
+# The bank: every vector turned by 1 to 63 places, tens of thousands of exemplars.
+@check("b5_large_bank", """WITH ex AS (SELECT vec_id * 64 + k AS exemplar, list_concat(embedding[k + 1:], embedding[1:k])::DOUBLE[] AS v FROM embeddings, range(1, 64) r(k)),
+  s AS (SELECT vec_id, exemplar, round(list_cosine_similarity(embedding::DOUBLE[], v), 6) AS similarity FROM embeddings, ex)
+  SELECT vec_id, exemplar, similarity FROM s WHERE similarity >= 0.4 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, exemplar) = 1""")
+def b5_bank(spark, d):
+    v = table(spark, d, "embeddings", "vec_id", "embedding")
+    turned = v.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(63)))).select(
+        (F.col("vec_id") * 64 + F.col("k")).alias("exemplar"), F.expr("concat(slice(embedding, k + 1, 64), slice(embedding, 1, k))").alias("embedding"))
+    return nearest_exemplars(v, turned, "vec_id", "embedding", 0.4)
 
 
 _PAIRS = duck_view("turns", TURNS) + """, pairs AS (SELECT conv_id * 1000 + turn AS row_id, role, text AS response, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS prompt FROM turns),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from wardstone.operators.findings import FINDING, FINDINGS, finding, no_findings
 from wardstone.operators.redact import computed
 from wardstone.sources import rules as packs
 from wardstone.sources.rules import Rule
-from wardstone.sources.tables import bounded_rows, fixed_table, sql_literal
+from wardstone.sources.tables import fixed_table, sql_literal
 
 
 def _rule_sql(rule: Rule, location: str | None = None) -> str:
@@ -197,48 +195,6 @@ def scrambled_words(df: DataFrame, key: str, text_col: str, lexicon: list[str] =
     return hits.groupBy(key, "word", "meant").agg(F.count(F.lit(1)).alias("n"))
 
 
-# --- vectors --------------------------------------------------------------------------
-
-
-SCORES_AT_ONCE = 4_000_000
-
-
-def nearest_exemplars(
-    vectors: DataFrame, exemplars: DataFrame, key: str, vector: str, threshold: float, max_exemplars: int = 10_000
-) -> DataFrame:
-    """Best exemplar of each vector with cosine at or above the threshold: key, exemplar, similarity.
-
-    Exemplars (exemplar, vector) are a curated set of known-bad vectors. Its size is checked
-    before the set is sent to the tasks; each Arrow batch is then one matrix product, each row
-    keeps only its best, and nothing is shuffled.
-    """
-    rows = bounded_rows(exemplars.select("exemplar", vector).orderBy("exemplar"), max_exemplars, "exemplars")
-    if not rows:
-        raise ValueError("exemplars: the table is empty")
-    ids = np.array([r[0] for r in rows])
-    bank = np.array([r[1] for r in rows], dtype=np.float64)
-    bank /= np.linalg.norm(bank, axis=1, keepdims=True)
-    shared = vectors.sparkSession.sparkContext.broadcast((ids, bank))
-    step = max(1, SCORES_AT_ONCE // len(ids))
-
-    def best(batches):
-        ids, bank = shared.value
-        for pdf in batches:
-            for lo in range(0, len(pdf), step):
-                part = pdf.iloc[lo : lo + step]
-                v = np.array(part[vector].tolist(), dtype=np.float64)
-                v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-300)
-                cosine = np.round(v @ bank.T, 6)
-                top = cosine.argmax(axis=1)
-                out = pd.DataFrame({key: part[key].to_numpy(), "exemplar": ids[top], "similarity": cosine.max(axis=1)})
-                yield out[out["similarity"] >= threshold]
-
-    key_type = dict(vectors.dtypes)[key]
-    return vectors.filter(F.col(vector).isNotNull()).select(key, vector).mapInPandas(
-        best, f"{key} {key_type}, exemplar long, similarity double"
-    )
-
-
 # --- responses ------------------------------------------------------------------------
 
 
