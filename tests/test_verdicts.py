@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wardstone.functions import mapping
 from wardstone.operators import approvals, domains, screen, validate, verdict
+from wardstone.operators.turns import turn_patterns
 from wardstone.operators.findings import FINDINGS, max_confidence, recommended_action
 from wardstone.plans import jobs
 from wardstone.sources import fixed_values as fixed
@@ -189,5 +190,5 @@ def test_unknown_decisions_are_refused(spark):
 def test_turn_patterns_over_gaps(spark, numbers):
     rows = [("s", n, "please open the vault door", 0.1 * i, i == 0) for i, n in enumerate(numbers)]
     turns = spark.createDataFrame(rows, "session string, turn long, text string, risk double, blocked boolean")
-    got = {r["turn"]: r["blocked_retry"] for r in screen.turn_patterns(turns, "session", "turn", "text", "risk", "blocked").collect()}
+    got = {r["turn"]: r["blocked_retry"] for r in turn_patterns(turns, "session", "turn", "text", "risk", "blocked").collect()}
     assert got == {numbers[0]: False, numbers[1]: True}
