@@ -6,7 +6,8 @@ All of it is one chain of column expressions per row: no shuffle, no Python. Ord
 2. one ``regexp_extract_all`` per detector, only behind its gate;
 3. positions, overlap resolution, numbering and rebuilding, only for texts with a hit.
 
-Each step is its own projection, so no regular expression is evaluated twice.
+Each step is its own projection, so no regular expression is evaluated twice. Lists of hits are folded in blocks: a fold
+that appends to a list copies it each time, so only short lists are appended to.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ MASK = "[REDACTED]"
 # Stands for a match while gaps are measured: splitting at one literal character compiles no
 # pattern per row. It is no character of any text; a text that has it anyway is split by pattern.
 MARK = "\uffff"
+#: Hits of a block.
+BLOCK = 128
 
 
 def computed(df: DataFrame, keep: list[str], *columns: Column) -> DataFrame:
@@ -100,21 +103,35 @@ def find_spans(
         f"if(size(`__{out_col}_m{d.priority}`) > 0, regexp_replace({text}, {sql_literal(d.pattern)}, '{MARK}'), NULL) AS marked)"
         for d in catalogue
     )
+    parts = f"""zip_with(slice(if(contains({text}, '{MARK}'), split({text}, g.pattern, -1), split(g.marked, '{MARK}', -1)), 1, size(g.hits)), g.hits,
+              (gap, hit) -> struct(length(gap) AS gap, hit AS hit))"""
+    step = """struct(
+                acc.pos + p.gap + length(p.hit) AS pos,
+                concat(acc.out, array(struct(
+                  acc.pos + p.gap AS start, g.priority AS priority, acc.pos + p.gap + length(p.hit) AS end,
+                  p.hit AS original, g.type AS type, g.prefix AS prefix))) AS out)"""
     spans = f"""
         array_sort(flatten(transform(filter(array({groups}), g -> size(g.hits) > 0), g ->
-          aggregate(
-            zip_with(slice(if(contains({text}, '{MARK}'), split({text}, g.pattern, -1), split(g.marked, '{MARK}', -1)), 1, size(g.hits)), g.hits,
-              (gap, hit) -> struct(length(gap) AS gap, hit AS hit)),
-            struct(0 AS pos, CAST(array() AS array<{SPAN}>) AS out),
-            (acc, p) -> struct(
-              acc.pos + p.gap + length(p.hit) AS pos,
-              concat(acc.out, array(struct(
-                acc.pos + p.gap AS start, g.priority AS priority, acc.pos + p.gap + length(p.hit) AS end,
-                p.hit AS original, g.type AS type, g.prefix AS prefix))) AS out),
-            acc -> acc.out))))"""
+          {_fold_in_blocks(parts, "0", "pos", SPAN, step)})))"""
     return computed(df, keep, F.expr(spans).cast(f"array<{SPAN}>").alias(out_col))
 
 
+def _fold_in_blocks(items: str, zero: str, carried: str, element: str, step: str) -> str:
+    """SQL of a fold over ``items`` that gives a list of ``element``.
+
+    ``step`` makes from ``acc`` (``carried`` and ``out``) and an item ``p`` the next ``acc``. Each block appends to a list
+    of its own, and the lists of the blocks are joined.
+    """
+    empty, lists = f"CAST(array() AS array<{element}>)", f"CAST(array() AS array<array<{element}>>)"
+    return f"""aggregate(array({items}), {empty}, (none, items) -> aggregate(
+            transform(if(size(items) > 0, sequence(0, cast((size(items) - 1) div {BLOCK} AS int)), CAST(array() AS array<int>)), b -> slice(items, b * {BLOCK} + 1, {BLOCK})),
+            struct({zero} AS {carried}, {lists} AS out),
+            (all, block) -> aggregate(
+              array(aggregate(block, struct(all.{carried} AS {carried}, {empty} AS out), (acc, p) -> {step})), all,
+              (all, own) -> struct(own.{carried} AS {carried}, concat(all.out, array(own.out)) AS out)),
+            all -> flatten(all.out)))"""
+
+
 def resolve_overlaps(spans: Column) -> Column:
     """Spans kept when each may not overlap an earlier kept one (input sorted).
 
@@ -126,55 +143,71 @@ def resolve_overlaps(spans: Column) -> Column:
         F.slice(spans, 2, F.greatest(F.size(spans) - 1, F.lit(0))),
         lambda a, b: b["start"] < a["end"],
     )
+    empty, lists = _empty(SPAN), F.array().cast(f"array<array<{SPAN}>>")
+
+    def kept(acc: Column, s: Column) -> Column:
+        fits = s["start"] >= acc["last"]
+        return F.struct(F.when(fits, s["end"]).otherwise(acc["last"]).alias("last"), F.when(fits, F.concat(acc["out"], F.array(s))).otherwise(acc["out"]).alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        keep = s["start"] >= acc["last"]
-        return F.struct(
-            F.when(keep, s["end"]).otherwise(acc["last"]).alias("last"),
-            F.when(keep, F.concat(acc["out"], F.array(s))).otherwise(acc["out"]).alias("out"),
-        )
+    def block(all_blocks: Column, own: Column) -> Column:
+        one = F.aggregate(own, F.struct(all_blocks["last"].alias("last"), empty.alias("out")), kept)
+        return F.aggregate(F.array(one), all_blocks, lambda a, o: F.struct(o["last"].alias("last"), F.concat(a["out"], F.array(o["out"])).alias("out")))
 
-    zero = F.struct(F.lit(0).alias("last"), _empty(SPAN).alias("out"))
-    folded = F.aggregate(spans, zero, step, lambda acc: acc["out"])
+    places = F.sequence(F.lit(0), F.floor((F.greatest(F.size(spans), F.lit(1)) - 1) / BLOCK).cast("int"))
+    blocks = F.transform(places, lambda b: F.slice(spans, b * BLOCK + 1, F.lit(BLOCK)))
+    folded = F.aggregate(blocks, F.struct(F.lit(0).alias("last"), lists.alias("out")), block, lambda acc: F.flatten(acc["out"]))
     return F.when(F.exists(neighbours, lambda x: x), folded).otherwise(spans)
 
 
-def _starts_by_prefix(kept: Column) -> Column:
-    prefixes = F.array_distinct(F.transform(kept, lambda s: s["prefix"]))
+def _ranked(kept: Column) -> Column:
+    """Spans by prefix, then in order, each with its place in the text's list."""
+    return F.array_sort(F.transform(kept, lambda s, i: F.struct(s["prefix"].alias("prefix"), i.alias("i"), s.alias("s"))))
+
 
-    def starts(prefix: Column) -> Column:
-        mine = F.filter(kept, lambda s: s["prefix"] == prefix)
-        return F.struct(prefix, F.transform(mine, lambda s: s["start"]))
+def _firsts(ranked: Column) -> Column:
+    """Where each prefix begins in the list by prefix, from 1."""
+    prefixes = F.transform(ranked, lambda x: x["prefix"])
+    return F.transform(F.array_distinct(prefixes), lambda p: F.struct(p.alias("prefix"), F.array_position(prefixes, p).alias("at")))
 
-    return F.map_from_entries(F.transform(prefixes, starts))
 
+def _entries(ranked: Column, firsts: Column) -> Column:
+    """The list in order of the text; a number is a span's rank among those of its prefix."""
 
-def _entries(kept: Column, numbering: Column) -> Column:
-    def entry(s: Column) -> Column:
-        n = F.array_position(F.element_at(numbering, s["prefix"]), s["start"])
-        token = F.concat(F.lit("["), s["prefix"], F.lit("_"), n.cast("string"), F.lit("]"))
-        return F.struct(
-            token.alias("token"),
-            s["original"].alias("original"),
-            s["type"].alias("type"),
-            s["start"].alias("position"),
-        )
+    def entry(x: Column, i: Column) -> Column:
+        first = F.element_at(F.filter(firsts, lambda f: f["prefix"] == x["prefix"]), 1)["at"]
+        token = F.concat(F.lit("["), x["prefix"], F.lit("_"), (i + 2 - first).cast("string"), F.lit("]"))
+        s = x["s"]
+        return F.struct(x["i"].alias("i"), F.struct(token.alias("token"), s["original"].alias("original"), s["type"].alias("type"), s["start"].alias("position")).alias("e"))
 
-    return F.transform(kept, entry)
+    return F.transform(F.array_sort(F.transform(ranked, entry)), lambda x: x["e"])
 
 
 def _rebuilt(text: Column, entries: Column) -> Column:
-    """The text with every entry replaced by its token."""
+    """The text with every entry replaced by its token.
 
-    def piece(e: Column, i: Column) -> Column:
+    Finding a place in a text takes as long as what lies before it, so each block of entries cuts its part out first.
+    """
+
+    def end(i: Column) -> Column:
         before = F.when(i > 0, F.element_at(entries, F.greatest(i, F.lit(1))))
-        at = F.coalesce(before["position"] + F.length(before["original"]), F.lit(0))
-        return F.concat(F.substring(text, at + 1, e["position"] - at), e["token"])
+        return F.coalesce(before["position"] + F.length(before["original"]), F.lit(0))
+
+    def block(b: Column) -> Column:
+        begin, to = end(b * BLOCK), end(F.least((b + 1) * BLOCK, F.size(entries)))
+        part = F.struct(F.substring(text, begin + 1, to - begin).alias("text"), begin.alias("begin"))
+
+        def rebuilt(own: Column) -> Column:
+            def piece(e: Column, i: Column) -> Column:
+                at = end(b * BLOCK + i)
+                return F.concat(F.substring(own["text"], at - own["begin"] + 1, e["position"] - at), e["token"])
+
+            return F.array_join(F.transform(F.slice(entries, b * BLOCK + 1, F.lit(BLOCK)), piece), "")
+
+        return F.element_at(F.transform(F.array(part), rebuilt), 1)
 
-    last = F.element_at(entries, -1)
-    tail = F.substring(text, last["position"] + F.length(last["original"]) + 1, F.length(text))
-    body = F.array_join(F.transform(entries, piece), "")
-    return F.when(F.size(entries) > 0, F.concat(body, tail)).otherwise(text)
+    blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(entries), F.lit(1)) - 1) / BLOCK).cast("int"))
+    tail = F.substring(text, end(F.size(entries)) + 1, F.length(text))
+    return F.when(F.size(entries) > 0, F.concat(F.array_join(F.transform(blocks, block), ""), tail)).otherwise(text)
 
 
 def redact_pii(
@@ -182,11 +215,11 @@ def redact_pii(
 ) -> DataFrame:
     """Adds redacted_text, redactions, pii_detected and redaction_count (each after ``prefix``)."""
     keep = df.columns
-    s, k, n = f"__{prefix}spans", f"__{prefix}kept", f"__{prefix}numbers"
+    s, k, n = f"__{prefix}spans", f"__{prefix}ranked", f"__{prefix}firsts"
     red = prefix + "redactions"
     df = find_spans(df, text_col, s, catalogue)
-    df = df.select(*keep, resolve_overlaps(F.col(s)).alias(k))
-    df = df.select(*keep, k, _starts_by_prefix(F.col(k)).alias(n))
+    df = computed(df, keep, _ranked(resolve_overlaps(F.col(s))).alias(k))
+    df = computed(df, [*keep, k], _firsts(F.col(k)).alias(n))
     df = computed(df, keep, _entries(F.col(k), F.col(n)).alias(red))
     return df.select(
         *keep,
