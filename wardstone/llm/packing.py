@@ -36,7 +36,8 @@ from wardstone.llm.text import pieces
 CAPACITY = 4096
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 400_000
+#: Words that are kept with their ids, the bytes they may take together, and the longest that is kept.
+CACHED_WORDS, CACHED_BYTES, LONGEST_CACHED = 200_000, 8 << 20, 100
 BLOCK_ROWS = 50_000
 CHUNK = 1 << 20
 
@@ -66,23 +67,31 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.bytes = 0
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known = {}
-        known, tokenize = self.known, self.tokenizer.model.tokenize
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of the words that are not known; those that are kept are known from then on."""
+        tokenize, new = self.tokenizer.model.tokenize, {}
         for word in words:
-            if word not in known:
+            if word not in self.known:
                 ids = [x.id for x in tokenize(word.encode().decode("latin-1").translate(_SHOWN))]
-                known[word] = struct.pack(f"<{len(ids)}I", *ids)
+                new[word] = struct.pack(f"<{len(ids)}I", *ids)
+        kept = {word: ids for word, ids in new.items() if len(word) <= LONGEST_CACHED}
+        size = sum(len(word) + len(ids) for word, ids in kept.items())
+        if len(self.known) + len(kept) > CACHED_WORDS or self.bytes + size > CACHED_BYTES:
+            new, self.known, self.bytes = self.known | new, {}, 0
+        if len(kept) <= CACHED_WORDS and size <= CACHED_BYTES:
+            self.known.update(kept)
+            self.bytes += size
+        return new
 
     def simple(self, text: str) -> bytes:
         words = _WORD.findall(text)
         try:
             return b"".join([self.known[w] for w in words])
         except KeyError:
-            self.learn(set(words))
-            return b"".join([self.known[w] for w in words])
+            new = self.learn(set(words))
+            return b"".join([new[w] if w in new else self.known[w] for w in words])
 
     def encode(self, text: str) -> bytes:
         if _OTHER.search(text):

@@ -17,6 +17,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Rows that go to Python and back at a time, where rows hold whole texts.
+TEXT_ROWS = 500
+
+
+def modest_batches(spark: SparkSession) -> None:
+    """Lets the session send at most TEXT_ROWS rows to Python at once: Spark's own bound is made for narrow rows, and its
+    buffers, on either side, follow the widest batch. A smaller setting of the user's stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= TEXT_ROWS:
+        spark.conf.set(name, str(TEXT_ROWS))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, computed once and written to the shared folder."""
     shared_folder(df.sparkSession)

@@ -32,6 +32,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from wardstone.llm.text import PUNCTUATION, Words, mixed, pieces, split_words
 
 SLOTS = 1 << 18
+WORDS = 1 << 18
 BEGINNINGS = (4, 5, 6, 7, 8)
 SAMPLE = 50_000
 PRIOR = 500.0
@@ -50,16 +51,23 @@ def words_of(texts: pa.Array) -> Words:
     return split_words(pc.utf8_lower(texts), PUNCTUATION, lower=False)
 
 
-def features(words: Words) -> np.ndarray:
-    """Slots of each word, one row a feature; -1 where the word has no such beginning."""
-    out = np.full((1 + len(BEGINNINGS), len(words.hashes)), -1, dtype=np.int32)
+def features(words: Words) -> Iterator[tuple[int, np.ndarray]]:
+    """Slots of the words, WORDS at a time: the first word's number, and one row a feature; -1 where a word has no such
+    beginning."""
+    for at in range(0, len(words.hashes), WORDS):
+        yield at, _features(words, slice(at, at + WORDS))
+
+
+def _features(words: Words, own: slice) -> np.ndarray:
+    hashes, starts = words.hashes[own], words.starts[own]
+    out = np.full((1 + len(BEGINNINGS), len(hashes)), -1, dtype=np.int32)
     mask = np.uint64(SLOTS - 1)
-    out[0] = (words.hashes & mask).astype(np.int32)
-    size = words.ends - words.starts
-    padded = np.concatenate([words.data, np.zeros(max(BEGINNINGS), dtype=np.uint8)]).astype(np.uint64)
+    out[0] = (hashes & mask).astype(np.int32)
+    size, last = words.ends[own] - starts, len(words.data) - 1
     value = np.zeros(len(size), dtype=np.uint64)
     for k in range(max(BEGINNINGS)):
-        value = (value << np.uint64(8)) | padded[words.starts + k]
+        # what lies beyond a word's end is only read into values that are not used
+        value = (value << np.uint64(8)) | words.data[np.minimum(starts + k, last)]
         if k + 1 in BEGINNINGS:
             longer = size > k + 1
             out[BEGINNINGS.index(k + 1) + 1, longer] = (mixed(value[longer] * np.uint64(31) + np.uint64(k)) & mask).astype(np.int32)
@@ -101,12 +109,14 @@ class Model:
     level: float = -50.0
 
     def word_scores(self, words: Words) -> np.ndarray:
-        slots = features(words)
-        best = np.full(len(words.hashes), -np.inf)
-        for own in slots:
-            has = own >= 0
-            best[has] = np.maximum(best[has], self.bound[own[has]])
-        return np.maximum(np.minimum(best, MOST) - MARGIN, -DRIFT)
+        out = np.empty(len(words.hashes))
+        for at, slots in features(words):
+            best = np.full(slots.shape[1], -np.inf)
+            for own in slots:
+                has = own >= 0
+                best[has] = np.maximum(best[has], self.bound[own[has]])
+            out[at : at + WORDS] = np.maximum(np.minimum(best, MOST) - MARGIN, -DRIFT)
+        return out
 
     def passages(self, scores: np.ndarray) -> list[tuple[float, int, int]]:
         """Normalised score, first word and end of every segment, best first."""
@@ -185,14 +195,19 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
         words = words_of(batch.column("text"))
         labels = batch.column("toxic").fill_null(-1).to_numpy(zero_copy_only=False)
-        labelled = (labels >= 0)[words.rows]
-        for slots in features(words):
-            totals[0] += np.bincount(slots[slots >= 0], minlength=SLOTS)
-            own = labelled & (slots >= 0)
-            pairs = np.unique(words.rows[own].astype(np.int64) * SLOTS + slots[own])
-            toxic = (labels == 1)[pairs // SLOTS]
+        pairs: list = [np.zeros(0, dtype=np.int64)] * (1 + len(BEGINNINGS))
+        for at, each in features(words):
+            rows = words.rows[at : at + WORDS]
+            labelled = (labels >= 0)[rows]
+            for k, slots in enumerate(each):
+                totals[0] += np.bincount(slots[slots >= 0], minlength=SLOTS)
+                own = labelled & (slots >= 0)
+                if own.any():  # a labelled row counts once for a slot of a feature
+                    pairs[k] = np.union1d(pairs[k], rows[own].astype(np.int64) * SLOTS + slots[own])
+        for own in pairs:
+            toxic = (labels == 1)[own // SLOTS]
             for k, kind in ((1, toxic), (2, ~toxic)):
-                totals[k] += np.bincount(pairs[kind] % SLOTS, minlength=SLOTS)
+                totals[k] += np.bincount(own[kind] % SLOTS, minlength=SLOTS)
     slots = np.flatnonzero(totals.any(axis=0))
     for part in np.split(slots, range(10_000, len(slots), 10_000)):
         if len(part):
