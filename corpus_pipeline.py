@@ -10,33 +10,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardstone.llm import decontaminate, line_dedup, near_dedup, packing, toxicity
-from wardstone.llm.storage import stored
+from wardstone.llm.storage import modest_batches, stored
 from wardstone.sources.tables import read_table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score toxicity.THRESHOLD or more go."""
+    modest_batches(spark)
     return toxicity.accepted(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
 
 
 def delete_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Runs of lines that stood before are deleted; documents of which nothing is left go."""
+    modest_batches(spark)
     left = line_dedup.deduplicated(docs)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, by five-word shingles and a similarity of 0.8."""
+    modest_batches(spark)
     return near_dedup.first_of_each(docs)
 
 
 def reject_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark go."""
+    modest_batches(spark)
     return decontaminate.clean(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of what is left, with its place in a sequence of packing.CAPACITY tokens."""
+    modest_batches(spark)
     return packing.packed(docs, public_tokenizers.path(packing.VOCABULARY))
 
 
