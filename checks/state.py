@@ -213,16 +213,27 @@ def v10(spark, d):
 _REPEATS = "(SELECT event_id, event_id % 7 AS what, {MS} AS ms FROM a)"
 
 
-@check("t7_approval_dedup", "WITH RECURSIVE " + duck_view("a", APPROVALS) + """, ordered AS (SELECT event_id, event_id % 7 AS what, epoch_us(created_at) // 1000 AS ms,
-    row_number() OVER (PARTITION BY event_id % 7 ORDER BY epoch_us(created_at) // 1000, event_id) AS rn FROM a),
+def _dedup_sql(what: str) -> str:
+    return "WITH RECURSIVE " + duck_view("a", APPROVALS) + f""", ordered AS (SELECT event_id, {what} AS what, epoch_us(created_at) // 1000 AS ms,
+    row_number() OVER (PARTITION BY {what} ORDER BY epoch_us(created_at) // 1000, event_id) AS rn FROM a),
   walk AS (SELECT what, rn, event_id, ms AS opened, false AS duplicate FROM ordered WHERE rn = 1
     UNION ALL SELECT o.what, o.rn, o.event_id, CASE WHEN o.ms - w.opened >= 14400000 THEN o.ms ELSE w.opened END, o.ms - w.opened < 14400000
-    FROM walk w JOIN ordered o ON o.what = w.what AND o.rn = w.rn + 1) SELECT event_id, duplicate FROM walk""")
+    FROM walk w JOIN ordered o ON o.what = w.what AND o.rn = w.rn + 1) SELECT event_id, duplicate FROM walk"""
+
+
+@check("t7_approval_dedup", _dedup_sql("event_id % 7"))
 def t7(spark, d):
     a = spark_view(spark, d, APPROVALS).withColumn("hash", ap.content_hash(F.lit("action"), (F.col("event_id") % 7).cast("string")))
     return ap.distinct_requests(a, "hash", "created_at", "event_id", 14_400).select("event_id", "duplicate")
 
 
+@check("t7_approval_dedup_hot_content", _dedup_sql("CASE WHEN event_id % 20 < 17 THEN 0 ELSE event_id % 20 END"))
+def t7_hot(spark, d):
+    what = F.when(F.col("event_id") % 20 < 17, 0).otherwise(F.col("event_id") % 20)
+    a = spark_view(spark, d, APPROVALS).withColumn("hash", ap.content_hash(F.lit("action"), what.cast("string")))
+    return ap.distinct_requests(a, "hash", "created_at", "event_id", 14_400).select("event_id", "duplicate")
+
+
 @check("j4_turn_pairs", "SELECT conv_id, turn, length(response) AS response_chars, length(prompt) AS prompt_chars, prompt_role FROM (SELECT conv_id, turn, role, text AS response, lag(text) OVER w AS prompt, lag(role) OVER w AS prompt_role FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'assistant' AND prompt IS NOT NULL")
 def j4(spark, d):
     df = pairing.pair_turns(table(spark, d, "conversations"), "conv_id", "turn", "role", "text")

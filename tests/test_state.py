@@ -101,3 +101,16 @@ def test_pairs_with_gaps(spark):
     df = spark.createDataFrame([(1, 0, "user", "a"), (1, 5, "assistant", "b"), (1, 6, "assistant", "c")], "conv long, turn long, role string, text string")
     got = pairing.pair_turns_with_gaps(df, "conv", "turn", "role", "text").collect()
     assert sorted((r["turn"], r["prompt"]) for r in got) == [(5, "a"), (6, "b")]
+
+
+def test_windows_of_one_busy_content(spark):
+    draw = random.Random(4)
+    times = sorted({draw.randrange(3_000_000) for _ in range(4000)} | {10_000, 12_000, 14_000})
+    points = spark.createDataFrame([("hot", t) for t in times] + [("one", 5), ("two", 5), ("two", 2_004), ("two", 2_005)], "key string, ms long")
+    found, last = [], None
+    for t in times:
+        if last is None or t - last >= 2_000:
+            found.append(("hot", t))
+            last = t
+    got = sorted((r["key"], r["ms"]) for r in approvals.window_openings(points, 2_000, 700).collect())
+    assert got == found + [("one", 5), ("two", 5), ("two", 2_005)]

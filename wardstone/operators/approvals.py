@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardstone.functions.mapping import minutes_left
 from wardstone.functions.text import truthy
-from wardstone.operators.chunks import scan_in_chunks
 from wardstone.operators.quota import millis
 from wardstone.sources import fixed_values as fixed
-from wardstone.sources.tables import fixed_table, lookup
+from wardstone.sources.tables import cut, fixed_table, lookup
 
 
 def decision_refusals(
@@ -170,6 +169,41 @@ def content_hash(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", *parts), 256)
 
 
+def _next_times(points: DataFrame, width: int, chunk: int) -> DataFrame:
+    """Each time of a key with ``to``, the first time of the key ``width`` or more after it, if there is one.
+
+    A time looks for its successor in one chunk of time; where that has none, the next chunk that holds a time gives its
+    first. So a busy key is dealt out by chunks, and only one row per chunk meets in a window over the key.
+    """
+    probes = points.select("key", (F.col("ms") + width).alias("at"), F.col("ms").alias("of"), F.lit(None).cast("long").alias("time"))
+    both = probes.unionByName(points.select("key", F.col("ms").alias("at"), F.lit(None).cast("long").alias("of"), F.col("ms").alias("time")))
+    both = both.withColumn("chunk", F.floor(F.col("at") / chunk))
+    rest = Window.partitionBy("key", "chunk").orderBy(F.col("at").desc()).rangeBetween(Window.unboundedPreceding, 0)
+    within = both.withColumn("to", F.min("time").over(rest)).where("of IS NOT NULL").select("key", "chunk", F.col("of").alias("ms"), "to")
+    later = Window.partitionBy("key").orderBy(F.col("chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = both.groupBy("key", "chunk").agg(F.min("time").alias("time"))
+    after = chunks.select("key", "chunk", F.min("time").over(later).alias("after"))
+    return within.join(after, ["key", "chunk"]).select("key", "ms", F.coalesce("to", "after").alias("to"))
+
+
+def window_openings(points: DataFrame, width: int, chunk: int) -> DataFrame:
+    """The times (key, ms) that open a window: the first, then always the first one ``width`` or more after the last.
+
+    Pointer doubling: each time points to the one that would open the next window after it. Pointers that leap two, four,
+    eight windows follow by joining the pointers with themselves, and the openings found so far leap with them, so the
+    rounds are as many as the logarithm of the windows, and a busy key is dealt out by its times.
+    """
+    leaps = cut(_next_times(points, width, chunk).where("to IS NOT NULL"))
+    found = cut(points.groupBy("key").agg(F.min("ms").alias("ms")))
+    while True:
+        more = cut(found.join(leaps, ["key", "ms"]).select("key", F.col("to").alias("ms")))
+        if more.isEmpty():
+            return found
+        found = cut(found.unionAll(more))
+        onward = leaps.select("key", F.col("ms").alias("to"), F.col("to").alias("far"))
+        leaps = cut(leaps.join(onward, ["key", "to"]).select("key", "ms", F.col("far").alias("to")))
+
+
 def distinct_requests(
     requests: DataFrame, hash_col: str, ts: str, seq: str, window_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS,
     chunk_ms: int = 600_000,
@@ -178,35 +212,13 @@ def distinct_requests(
 
     The first request of a content opens a window; the same content within it is a repeat, the
     first one after it opens the next window. Repeats in one millisecond are reduced before
-    anything is shuffled by content, and one popular content is cut into chunks of time.
+    anything is shuffled by content, and a popular content is dealt out by its times.
     """
-    width = window_seconds * 1000
-
-    def openings(times: list, last: int | None) -> list[int]:
-        found = []
-        for ms in times:
-            if last is None or ms - last >= width:
-                found.append(ms)
-                last = ms
-        return found
-
-    def fold(state: tuple | None, start: int, summary: tuple) -> tuple[tuple, tuple]:
-        last = None if state is None else state[0]
-        found = openings(summary[0], last)
-        entry = -1 if last is None else last
-        return (entry,), ((found[-1] if found else last),)
-
-    def replay(rows: dict[str, list], start: int, entry: tuple) -> list[tuple]:
-        return [(ms,) for ms in openings(rows["ms"], None if entry[0] == -1 else entry[0])]
-
     timed = requests.withColumn("ms", millis(F.col(ts)))
     points = timed.groupBy(hash_col, "ms").agg(F.min(seq).alias("first_seq"))
-    opened, _ = scan_in_chunks(
-        points.select(hash_col, "ms"), hash_col, chunk_ms, lambda rows, start: (rows["ms"],), "times array<long>",
-        fold, "last_opened long", replay, "ms long",
-    )
-    marks = opened.join(points, [hash_col, "ms"]).select(
-        hash_col, F.col("first_seq").alias(seq), F.lit(True).alias("__opens")
+    opened = window_openings(points.select(F.col(hash_col).alias("key"), "ms"), window_seconds * 1000, chunk_ms)
+    marks = opened.join(points.withColumnRenamed(hash_col, "key"), ["key", "ms"]).select(
+        F.col("key").alias(hash_col), F.col("first_seq").alias(seq), F.lit(True).alias("__opens")
     )
     return timed.join(marks, [hash_col, seq], "left").select(
         *requests.columns, F.col("__opens").isNull().alias("duplicate")

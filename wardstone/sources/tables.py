@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,17 @@ def read_table(spark: SparkSession, directory: str, name: str, *columns: str) ->
     return df.select(*columns) if columns else df
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, computed once and written to the folder that the session names in spark.checkpoint.dir.
+
+    Where it names none, as in tests, a temporary folder is set.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="wardstone-"))
+    return df.checkpoint()
+
+
 def sql_literal(value) -> str:
     """A Python value as Spark SQL text."""
     if value is None:
