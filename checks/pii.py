@@ -278,6 +278,14 @@ def s3(spark, d):
     return df.orderBy(F.desc("first_confidence"), "ordinal")
 
 
+@check("o2_catalogue_order", "WITH " + duck_view("remote", REMOTE) + ", " + values("map", ["threat_type", "prefix"], fixed.REMOTE_PREFIXES) + """,
+  named AS (SELECT *, regexp_replace(threat_type, '^pii_', '') AS name FROM remote),
+  firsts AS (SELECT name, coalesce(confidence, 0) AS first_confidence FROM named QUALIFY row_number() OVER (PARTITION BY name ORDER BY ordinal) = 1)
+  SELECT n.ordinal, n.name, row_number() OVER (ORDER BY first_confidence DESC, n.ordinal) AS place FROM named n JOIN map m USING (threat_type) JOIN firsts f USING (name)""")
+def o2(spark, d):
+    return catalogue.ranked_remote(spark_view(spark, d, REMOTE)).select("ordinal", "name", "place")
+
+
 @check("o1_span_order", PROBES + "SELECT id AS row_id, rn AS place, type, s AS span_start FROM spans")
 def o1(spark, d):
     df = redact.find_spans(spark_view(spark, d, PROBE), "text")

@@ -48,18 +48,31 @@ def flat(df, *carry):
 
 # --- sources ---------------------------------------------------------------------------
 
-_ALL_VIEWS = [("scan_sql_query", SQL_TEXT, "query"), ("scan_file_write", PATHS, "path"), ("scan_web_search", SEARCHES, "query"),
-              ("scan_command", COMMANDS, "command"), ("scan_a2a_message", MESSAGES, "message"), ("scan_agent_card", CARDS, "agent_card")]
+_PROMPTS = "SELECT conv_id * 1000 + turn AS row_id, text AS content, role AS context, turn % 2 = 0 AS redact_pii FROM {conversations}"
+_RESPONSES = "SELECT conv_id * 1000 + turn AS row_id, text AS response, role AS original_prompt FROM {conversations}"
+_DECISIONS = "SELECT event_id AS row_id, CAST(user_id AS STRING) AS approval_id, event_type AS decision, CASE event_id % 3 WHEN 0 THEN NULL ELSE 'because' END AS justification FROM {events}"
+_ALL_VIEWS = [("scan_sql_query", SQL_TEXT), ("scan_file_write", PATHS), ("scan_web_search", SEARCHES), ("scan_command", COMMANDS), ("scan_a2a_message", MESSAGES),
+              ("scan_agent_card", CARDS), ("scan_prompt", _PROMPTS), ("scan_response", _RESPONSES), ("check_approval", _DECISIONS), ("report_bypass", BYPASSES)]
 
 
-@check("s1_typed_requests", "WITH " + ", ".join(duck_view(t, v) for t, v, _ in _ALL_VIEWS) + " SELECT tool, count(*) AS n, CAST(sum(length(coalesce(x, ''))) AS BIGINT) AS chars FROM ("
-       + " UNION ALL ".join(f"SELECT '{t}' AS tool, {c} AS x FROM {t}" for t, _, c in _ALL_VIEWS) + ") GROUP BY tool")
+def _text_fields(tool: str) -> list[str]:
+    return [f.split()[0] for f in requests.SCHEMAS[tool].split(", ") if f.endswith(" string")]
+
+
+def _typed_sql(tool: str, view: str) -> str:
+    there = [c for c in _text_fields(tool) if f"AS {c}" in view]
+    parts = " UNION ALL ".join(f"SELECT '{tool}' AS tool, '{c}' AS field, {c if c in there else 'NULL'} AS x FROM {tool}" for c in _text_fields(tool))
+    return f"SELECT tool, field, count(*) AS n, count(x) AS n_given, CAST(coalesce(sum(length(x)), 0) AS BIGINT) AS chars, CAST(coalesce(min(x), '') AS VARCHAR) AS least FROM ({parts}) GROUP BY ALL"
+
+
+@check("s1_typed_requests", "WITH " + ", ".join(duck_view(t, v) for t, v in _ALL_VIEWS) + " " + " UNION ALL ".join(_typed_sql(t, v) for t, v in _ALL_VIEWS))
 def s1(spark, d):
     out = None
-    for tool, view, col in _ALL_VIEWS:
+    for tool, view in _ALL_VIEWS:
         df = requests.conform(spark_view(spark, d, view), tool)
-        part = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.coalesce(col, F.lit("")))).alias("chars"))
-        part = part.select(F.lit(tool).alias("tool"), "n", "chars")
+        fields = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("x")) for c in _text_fields(tool)))).alias("f")
+        part = df.select(fields).groupBy(F.lit(tool).alias("tool"), F.col("f.field").alias("field")).agg(
+            F.count(F.lit(1)).alias("n"), F.count("f.x").alias("n_given"), F.coalesce(F.sum(F.length("f.x")), F.lit(0)).alias("chars"), F.coalesce(F.min("f.x"), F.lit("")).alias("least"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -209,7 +222,7 @@ def p4(spark, d):
     return spark_view(spark, d, PATHS).select("row_id", mapping.file_extension("path").alias("extension"))
 
 
-@check("p5_measures", "WITH " + ", ".join(duck_view(t, v) for t, v, _ in _ALL_VIEWS) + """
+@check("p5_measures", "WITH " + ", ".join(duck_view(t, v) for t, v in _ALL_VIEWS) + """
   SELECT 'scan_sql_query' AS tool, row_id, length(query) AS n_chars, 0 AS n_more FROM scan_sql_query
   UNION ALL SELECT 'scan_file_write', row_id, length(path), length(content) FROM scan_file_write
   UNION ALL SELECT 'scan_web_search', row_id, length(query), coalesce(len(target_domains), 0) FROM scan_web_search
@@ -218,7 +231,8 @@ def p4(spark, d):
   UNION ALL SELECT 'scan_agent_card', row_id, length(agent_card), 0 FROM scan_agent_card""")
 def p5(spark, d):
     out = None
-    for tool, view, col in _ALL_VIEWS:
+    measured = ["query", "path", "query", "command", "message", "agent_card"]
+    for (tool, view), col in zip(_ALL_VIEWS, measured):
         df = spark_view(spark, d, view)
         more = F.lit(0)
         if tool == "scan_file_write":

@@ -11,12 +11,13 @@ import checks.state  # noqa: F401  (its twins are reused)
 from checks.base import ORACLES, check, table, values
 from checks.layers import ciphers, decoded, joined, layered
 from checks.pii import re2, span_ctes
-from checks.results import _DOMAIN_ISSUES, flat, long
+from checks.results import _BYPASS, _DOMAIN_ISSUES, flat, long
+from checks.state import AS_OF_MS, HOT_CALLS, IDLE, SESSION_SQL, built_sessions
 from checks.sqltext import DIMS, NO_APPROVAL, action, of_rank, q, rank, verdict
 from checks.views import (
     BYPASSES, CARDS, COMMANDS, FINDINGS, MESSAGES, PATHS, SEARCHES, SQL_TEXT, TURNS, duck_view, spark_view,
 )
-from wardstone.operators import cascade, compliance, redact, screen, turns
+from wardstone.operators import cascade, compliance, redact, screen, sessions, turns
 from wardstone.operators.exemplars import nearest_exemplars
 from wardstone.operators.rule_table import apply_rule_table
 from wardstone.plans import jobs
@@ -284,6 +285,24 @@ def b17(spark, d):
     return turns.turn_patterns(df, "conv_id", "turn", "text", "risk", "blocked")
 
 
+def _hits_of(patterns) -> str:
+    return " UNION ALL ".join(f"SELECT '{p}' AS pattern, count(*) FILTER (WHERE {p}) AS hits FROM flags" for p in patterns)
+
+
+@check("a9_pattern_hits", "WITH flags AS (" + ORACLES["b17_turn_patterns"] + ") " + _hits_of(turns.PATTERNS))
+def a9_hits(spark, d):
+    return sessions.pattern_hits(b17(spark, d), *turns.PATTERNS)
+
+
+@check("e11_session_intel", "WITH RECURSIVE " + duck_view("calls", HOT_CALLS) + ", " + SESSION_SQL + ", flags AS (" + ORACLES["b17_turn_patterns"] + "), h AS (" + _hits_of(turns.PATTERNS) + f""")
+  SELECT count(*) AS active_sessions, CAST(coalesce(sum(turns), 0) AS BIGINT) AS turns_tracked, count(*) FILTER (WHERE risk >= 1) AS high_risk_sessions, coalesce(round(avg(risk), 6), 0) AS avg_risk,
+   (SELECT string_agg(pattern || '=' || hits, ' ' ORDER BY pattern) FROM h) AS patterns FROM built WHERE {AS_OF_MS} - last_ms < {IDLE} * 1000""")
+def e11_sessions(spark, d):
+    out = jobs.session_intel(built_sessions(spark, d, HOT_CALLS), b17(spark, d), AS_OF_MS, 1.0, IDLE)
+    pairs = F.transform(F.map_entries("pattern_hit_counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return out.withColumn("patterns", F.array_join(pairs, " ")).drop("pattern_hit_counts")
+
+
 @check("b18_cascade", "WITH RECURSIVE " + _ATTACKED + ", " + hits_sql("hits", "v", "text", packs.PROMPT) + ", " + span_ctes("v", "row_id", "text") + """,
   top AS (SELECT row_id, max(confidence) AS c, count(*) AS n FROM hits GROUP BY row_id)
   SELECT v.row_id, CASE WHEN coalesce(c, 0) >= 0.9 THEN 'rules' WHEN s.id IS NOT NULL THEN 'personal_data' ELSE 'none' END AS decided_by
@@ -506,10 +525,11 @@ def e12(spark, d):
     return jobs.reset_sessions(turns, calls.filter("event_type = 'signup'"), "key", "ts", "risk")
 
 
-@check("e10_ingest_bypass_reports", "WITH " + duck_view("b", BYPASSES) + " SELECT CASE WHEN coalesce(prompt,'')||coalesce(file_path,'')||coalesce(file_content,'')||coalesce(sql_query,'')||coalesce(search_query,'') = '' THEN 'rejected' ELSE 'accepted' END AS outcome, count(*) AS n FROM b GROUP BY ALL")
+@check("e10_ingest_bypass_reports", "WITH " + duck_view("b", BYPASSES) + f""" SELECT row_id, bypass_text, category, mutation_type, CASE WHEN bypass_text = '' THEN 'rejected' ELSE 'accepted' END AS outcome FROM ({_BYPASS})""")
 def e10(spark, d):
     accepted, rejected = jobs.ingest_bypass_reports(spark_view(spark, d, BYPASSES))
-    return accepted.select(F.lit("accepted").alias("outcome")).unionByName(rejected.select(F.lit("rejected").alias("outcome"))).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    both = accepted.withColumn("outcome", F.lit("accepted")).unionByName(rejected.withColumn("outcome", F.lit("rejected")), allowMissingColumns=True)
+    return both.select("row_id", F.coalesce("bypass_text", F.lit("")).alias("bypass_text"), "category", "mutation_type", "outcome")
 
 
 @check("e11_threat_intel", "WITH " + duck_view("findings", FINDINGS) + ", " + DIMS + """ SELECT a.ttype AS category, count(DISTINCT nullif(pattern, '')) AS pattern_count, count(*) AS detections, round(avg(confidence), 6) AS avg_confidence, max(epoch_us(ts) // 1000) AS last_updated_ms

@@ -78,3 +78,12 @@ def session_statistics(
         F.count_if(F.col("risk") >= high_risk).alias("high_risk_sessions"),
         F.coalesce(F.round(F.avg("risk"), 6), F.lit(0.0)).alias("avg_risk"),
     )
+
+
+def pattern_hits(flags: DataFrame, *patterns: str) -> DataFrame:
+    """How many turns showed each pattern: pattern, hits; patterns without any are listed with 0.
+
+    ``flags`` has a column for each pattern, as ``turns.turn_patterns`` gives them. One partial sum per task is shuffled.
+    """
+    sums = flags.agg(*(F.count_if(F.coalesce(F.col(p), F.lit(False))).alias(p) for p in patterns))
+    return sums.select(F.explode(F.array(*(F.struct(F.lit(p).alias("pattern"), F.col(p).alias("hits")) for p in patterns))).alias("x")).select("x.*")

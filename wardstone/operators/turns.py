@@ -28,6 +28,10 @@ LOOK_BACK, STRIDE = 400, 512
 RECENT, PROBES, RISK = 5, 3, 2.0
 
 
+#: The flags of ``turn_patterns``.
+PATTERNS = ("blocked_retry", "trust_escalation", "topic_pivot", "payload_splitting", "probing", "risk_accumulation", "script_switch")
+
+
 def numbered(turns: DataFrame, key: str, turn: str, *ties: str, stride: int = STRIDE) -> DataFrame:
     """Adds ``__session``, equal for turns of one session also where that is null, and ``__place``, from 0.
 

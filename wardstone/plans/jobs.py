@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wardstone.functions import mapping
 from wardstone.functions.text import java_pattern, missing
-from wardstone.operators import approvals, cascade, domains, files, findings, intel, redact, screen, sessions, validate, verdict
+from wardstone.operators import approvals, cascade, domains, files, findings, intel, redact, screen, sessions, turns, validate, verdict
 from wardstone.operators.findings import only
 from wardstone.sources import fixed_values as fixed
 from wardstone.sources import rules as packs
@@ -322,9 +322,16 @@ def threat_intel(found: DataFrame, type_col: str = "threat_type", category: str
     return intel.threat_intel(intel.categorised(found, type_col), category, include)
 
 
-def reset_sessions(turns: DataFrame, resets: DataFrame, key: str, ts: str, risk: str) -> DataFrame:
+def session_intel(built: DataFrame, flags: DataFrame, as_of_ms: int, high_risk: float, idle_seconds: int = fixed.SESSION_IDLE_SECONDS) -> DataFrame:
+    """One row: the statistics of the active sessions (``sessions.sessions``), and a map of the hits of each turn pattern."""
+    hits = sessions.pattern_hits(flags, *turns.PATTERNS).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("pattern", "hits")))).alias("pattern_hit_counts"))
+    stats = sessions.session_statistics(built, as_of_ms, high_risk, idle_seconds)
+    return stats.withColumn("one", F.lit(1)).join(hits.withColumn("one", F.lit(1)), "one").drop("one")  # a row each
+
+
+def reset_sessions(requests: DataFrame, resets: DataFrame, key: str, ts: str, risk: str) -> DataFrame:
     """Sessions of the turns when every reset starts its owner afresh."""
-    return sessions.sessions(turns, key, ts, risk, resets)
+    return sessions.sessions(requests, key, ts, risk, resets)
 
 
 VERDICT_COLUMNS = ["row_id", "tool", "error", *verdict.EXTERNAL]
@@ -387,5 +394,5 @@ def scan(req: DataFrame, enabled: list[str] | None = None) -> DataFrame:
 __all__ = [
     "apply_decisions", "approval_status", "ingest_bypass_reports", "reset_sessions", "scan",
     "scan_agent_cards", "scan_commands", "scan_file_writes", "scan_messages", "scan_prompts", "scan_responses",
-    "scan_searches", "scan_sql", "threat_intel",
+    "scan_searches", "scan_sql", "session_intel", "threat_intel",
 ]

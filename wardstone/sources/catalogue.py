@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -85,10 +86,13 @@ def ranked_remote(remote: DataFrame) -> DataFrame:
     return usable_remote(remote).withColumn("place", F.row_number().over(order).cast("long"))
 
 
-def _compiles(pattern: str) -> bool:
+def _compiles(spark: SparkSession, pattern: str | None) -> bool:
+    """Whether the engine that runs the detectors takes a pattern; null is none."""
+    if pattern is None:
+        return False
     try:
-        re.compile(pattern)
-    except re.error:
+        spark.sparkContext._jvm.java.util.regex.Pattern.compile(java_pattern(pattern, True))
+    except (Py4JJavaError, IllegalArgumentException):
         return False
     return True
 
@@ -104,11 +108,11 @@ def sync_catalogue(
     fallback = builtin_catalogue() if fallback is None else fallback
     if remote is None:
         return fallback
-    rows = bounded_rows(usable_remote(remote), MAX_DETECTORS, "remote catalogue")
-    rows.sort(key=lambda r: (-r["first_confidence"], r["ordinal"]))
+    rows = bounded_rows(ranked_remote(remote), MAX_DETECTORS, "remote catalogue")
+    rows.sort(key=lambda r: r["place"])
     synced = [
         Detector(r["name"], r["prefix"], java_pattern(r["pattern"], True), i)
-        for i, r in enumerate(r for r in rows if _compiles(r["pattern"]))
+        for i, r in enumerate(r for r in rows if _compiles(remote.sparkSession, r["pattern"]))
     ]
     if not synced:
         return fallback
