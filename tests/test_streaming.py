@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from wardstone.operators import health, quota, sessions
+from wardstone.operators import approvals, health, quota, sessions
 from wardstone.streaming import refresh, state
 
 SF = "/root/testdata/sf0.001"
@@ -74,15 +74,37 @@ def test_distinct_requests(spark, calls, tmp_path):
 
 
 def test_approvals(spark, tmp_path):
-    r, d = str(tmp_path / "r"), str(tmp_path / "d")
-    at = "timestamp '2024-01-01 00:00:00'"
-    spark.sql(f"SELECT * FROM VALUES ('a', {at}), ('b', {at}), ('z', {at} + INTERVAL 1 DAY) AS t(approval_id, created_at)").write.parquet(r)
-    spark.sql(f"SELECT * FROM VALUES ('a', {at} + INTERVAL 10 MINUTES, 'approved'), ('b', {at} + INTERVAL 40 MINUTES, 'approved'), ('z', {at} + INTERVAL 2 DAY, 'x') AS t(approval_id, decided_at, decision)").write.parquet(d)
-    requests = spark.readStream.schema(spark.read.parquet(r).schema).parquet(r)
-    decisions = spark.readStream.schema(spark.read.parquet(d).schema).parquet(d)
-    out = drain(spark, state.approval_stream(requests, decisions), "approvals", tmp_path)
-    got = dict(rows(out, "approval_id", "status"))
-    assert got["a"] == "approved" and got.get("b", "expired") == "expired"
+    """The stream tells what the batch ledger says: statuses, justifications and the code of every refusal."""
+    minute, rows_r, rows_d = 60_000, [], []
+    for i in range(120):
+        at = (10_000 + i * 4) * minute
+        rows_r.append((f"a{i}", "ann", at, ["low", "medium", "high", None][i % 4], i % 17 == 0))
+        for k in range(i % 4):
+            rows_d.append((f"a{i}", at + [30_000, 5 * minute, 20 * minute, 45 * minute][(i + k) % 4], ["approved", "rejected"][k % 2], f"why {k}",
+                           ["bob", "ann", None][(i // 4 + k) % 3], ["dashboard", "agent", "scanner"][(i // 3 + k) % 3]))
+    rows_d += [("a1", 10_004 * minute + 30_000, "approved", "quick", "bob", "agent"), ("nobody", 10_050 * minute, "approved", "x", "bob", "dashboard"), ("a3", 10_600 * minute, "approved", "late", "bob", "dashboard")]
+    end = [("end", "ann", 14_000 * minute, "low", False)]
+    kinds = ["approval_id string, requester string, ms long, severity string, cancelled boolean", "approval_id string, ms long, decision string, justification string, decider string, decided_via string"]
+    frames = [spark.createDataFrame(rows, kind).withColumn(name, F.timestamp_millis("ms")).drop("ms") for rows, kind, name in ((rows_r, kinds[0], "created_at"), (rows_d, kinds[1], "decided_at"))]
+    last = spark.createDataFrame(end, kinds[0]).withColumn("created_at", F.timestamp_millis("ms")).drop("ms")
+    sources = []
+    for name, parts in (("r", [frames[0].where("approval_id < 'a5'"), frames[0].where("approval_id >= 'a5'"), last]), ("d", [frames[1]])):
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+        sources.append(spark.readStream.schema(parts[0].schema).parquet(str(tmp_path / name)))
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        told = drain(spark, state.approval_stream(*sources, late="1 minute"), "approvals", tmp_path).collect()
+    finally:
+        spark.conf.set(provider, before)
+    batch = approvals.approval_states(frames[0], frames[1], "1970-01-09 18:00:00").collect()
+    assert {r.approval_id: (r.status, r.justification) for r in told if r.status} == {r.approval_id: (r.status, r.justification) for r in batch}
+    refused = approvals.decision_refusals(frames[0], frames[1]).where("refusal IS NOT NULL").collect()
+    assert sorted((r.approval_id, x.decided_at, x.refusal) for r in told for x in r.refusals) == sorted((r.approval_id, r.decided_at, r.refusal) for r in refused)
+    assert {r.refusal for r in refused} == {"APPROVAL_NOT_FOUND", "SCANNER_ROUTE_DENIED", "DASHBOARD_REQUIRED", "COOLDOWN_ACTIVE", "SELF_APPROVAL_BLOCKED", "EXPIRED"}
+    assert {r.status for r in batch} == {"approved", "rejected", "expired", "cancelled"}
 
 
 def test_catalogue_refresh_keeps_last_good(spark, tmp_path):

@@ -12,11 +12,11 @@ from wardstone.sources import fixed_values as fixed
 from wardstone.sources.tables import cut, fixed_table, lookup
 
 
-def decision_refusals(
-    requests: DataFrame, decisions: DataFrame, expiry_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS,
-    cooldown_seconds: int = fixed.APPROVAL_COOLDOWN_SECONDS,
-) -> DataFrame:
-    """Each decision with the code it was refused with, or null where it counts.
+def refusal_code(
+    known: Column, requester: Column, created_at: Column, severity: Column, decider: Column, decided_via: Column, decided_at: Column,
+    expiry_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS, cooldown_seconds: int = fixed.APPROVAL_COOLDOWN_SECONDS,
+) -> Column:
+    """The code a decision on a request is refused with, or null where it counts.
 
     High and critical requests need the dashboard; others accept nothing from an agent within the
     cooldown; the scanner's own route decides nothing; nobody decides on their own request; nothing is
@@ -24,21 +24,29 @@ def decision_refusals(
     other than low or medium counts as high, a channel that is not named as an agent's, and a decider
     or requester who is not named as the same person.
     """
-    c = F.col
-    joined = decisions.join(
-        requests.select("approval_id", "requester", "created_at", "severity", F.lit(True).alias("__known")), "approval_id", "left"
-    )
-    age = millis(c("decided_at")) - millis(c("created_at"))
-    serious = ~F.coalesce(F.lower("severity").isin("low", "medium"), F.lit(False))
-    by_dashboard = F.coalesce(c("decided_via") == "dashboard", F.lit(False))
-    code = (
-        F.when(c("__known").isNull(), "APPROVAL_NOT_FOUND")
-        .when(c("decided_via") == "scanner", "SCANNER_ROUTE_DENIED")
+    age = millis(decided_at) - millis(created_at)
+    serious = ~F.coalesce(F.lower(severity).isin("low", "medium"), F.lit(False))
+    by_dashboard = F.coalesce(decided_via == "dashboard", F.lit(False))
+    return (
+        F.when(~F.coalesce(known, F.lit(False)), "APPROVAL_NOT_FOUND")
+        .when(decided_via == "scanner", "SCANNER_ROUTE_DENIED")
         .when(serious & ~by_dashboard, "DASHBOARD_REQUIRED")
         .when(~serious & ~by_dashboard & F.coalesce(age < cooldown_seconds * 1000, F.lit(True)), "COOLDOWN_ACTIVE")
-        .when(F.coalesce(c("decider") == c("requester"), F.lit(True)), "SELF_APPROVAL_BLOCKED")
+        .when(F.coalesce(decider == requester, F.lit(True)), "SELF_APPROVAL_BLOCKED")
         .when(F.coalesce(age >= expiry_seconds * 1000, F.lit(True)), "EXPIRED")
     )
+
+
+def decision_refusals(
+    requests: DataFrame, decisions: DataFrame, expiry_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS,
+    cooldown_seconds: int = fixed.APPROVAL_COOLDOWN_SECONDS,
+) -> DataFrame:
+    """Each decision with the code it was refused with (``refusal_code``), or null where it counts."""
+    c = F.col
+    joined = decisions.join(
+        requests.select("approval_id", "requester", "created_at", "severity", F.lit(True).alias("__known")), "approval_id", "left"
+    )
+    code = refusal_code(c("__known"), c("requester"), c("created_at"), c("severity"), c("decider"), c("decided_via"), c("decided_at"), expiry_seconds, cooldown_seconds)
     return joined.withColumn("refusal", code).drop("__known")
 
 

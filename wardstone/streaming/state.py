@@ -9,10 +9,12 @@ order across batches, as one keyed log partition does; the batch jobs need no or
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 from wardstone.operators import health
+from wardstone.operators.approvals import refusal_code
 from wardstone.operators.quota import millis
 from wardstone.sources import fixed_values as fixed
 
@@ -114,24 +116,107 @@ def session_stream(
     )
 
 
+_EVENT = (
+    "approval_id string, at timestamp, ms long, kind string, requester string, created_at timestamp, severity string, cancelled boolean, "
+    "decided_at timestamp, decision string, justification string, decider string, decided_via string"
+)
+_REQUEST = ["requester", "created_at", "severity", "cancelled"]
+_DECISION = ["decided_at", "decision", "justification", "decider", "decided_via"]
+
+
+class _Ledger(StatefulProcessor):
+    """Keeps the request of an approval and the decisions on it, and hands both on when the request expires.
+
+    A decision that comes later is handed on at once, one without a request once no request can come any more. All of it
+    is forgotten ``keep_ms`` after expiry.
+    """
+
+    def __init__(self, expiry_ms: int, keep_ms: int):
+        self.expiry_ms, self.keep_ms = expiry_ms, keep_ms
+
+    def init(self, handle) -> None:
+        self.request = handle.getValueState("request", "requester string, created_at timestamp, severity string, cancelled boolean, ms long, told boolean")
+        self.decisions = handle.getListState("decisions", "decided_at timestamp, decision string, justification string, decider string, decided_via string")
+        self.handle = handle
+
+    def _row(self, key, request, decisions, settles: bool) -> Row:
+        return Row(approval_id=key[0], settles=settles, request=request[:4] if request else None, decisions=[tuple(d) for d in decisions])
+
+    def handleInputRows(self, key, rows, timerValues):
+        request = self.request.get() if self.request.exists() else None
+        held = []
+        for row in rows:
+            if row["kind"] == "request":
+                if request is None:
+                    request = (*(row[c] for c in _REQUEST), row["ms"], False)
+                    self.request.update(request)
+                    self.handle.registerTimer(row["ms"] + self.expiry_ms)
+            else:
+                held.append(tuple(row[c] for c in _DECISION))
+                if request is None:
+                    self.handle.registerTimer(row["ms"] + self.expiry_ms)
+        if request is not None and request[5]:
+            if held:
+                yield self._row(key, request, held, False)
+        else:
+            for one in held:
+                self.decisions.appendValue(one)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        request = self.request.get() if self.request.exists() else None
+        if request is not None and request[5]:
+            self.request.clear()
+            return
+        decisions = list(self.decisions.get()) if self.decisions.exists() else []
+        if request is not None and expiredTimerInfo.getExpiryTimeInMs() < request[4] + self.expiry_ms:
+            return  # the timer of a decision that came before its request
+        if request is not None or decisions:
+            yield self._row(key, request, decisions, request is not None)
+        self.decisions.clear()
+        if request is not None:
+            self.request.update((*request[:5], True))
+            self.handle.registerTimer(expiredTimerInfo.getExpiryTimeInMs() + self.keep_ms)
+
+    def close(self) -> None:
+        pass
+
+
 def approval_stream(
-    requests: DataFrame, decisions: DataFrame, late: str = "5 minutes", expiry_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS
+    requests: DataFrame, decisions: DataFrame, late: str = "5 minutes", expiry_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS,
+    cooldown_seconds: int = fixed.APPROVAL_COOLDOWN_SECONDS, keep_seconds: int = 86_400,
 ) -> DataFrame:
-    """Requests with the decisions made before they expire; expired ones come without, once late.
+    """What became of each request, by the rules of the batch ledger: approval_id, status, justification, refusals.
 
-    Both sides carry a watermark and the join is bounded in time, so old state is dropped.
+    Requests and decisions are one stream of events, kept by approval until the watermark says that a request has expired;
+    then its status is told, with the code of every refused decision. Refused decisions that come after it, or on no known
+    request, are told in rows without a status. The state store must be RocksDB
+    (``spark.sql.streaming.stateStore.providerClass``), as event timers need it.
     """
-    r = requests.withColumn("created_at", F.col("created_at").cast("timestamp")).withWatermark("created_at", late)
-    d = (
-        decisions.withColumn("decided_at", F.col("decided_at").cast("timestamp"))
-        .withColumnRenamed("approval_id", "decided_id").withWatermark("decided_at", late)
+    kinds = [f.split(" ") for f in _EVENT.split(", ")]
+
+    def events(df: DataFrame, kind: str, at: str, have: list[str]) -> DataFrame:
+        own = {"kind": F.lit(kind), "at": F.col(at), "ms": millis(F.col(at))} | {c: F.col(c) for c in ["approval_id", *have] if c in df.columns}
+        return df.select(*(own.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds))
+
+    both = events(requests, "request", "created_at", _REQUEST).unionByName(events(decisions, "decision", "decided_at", _DECISION))
+    out = (
+        "approval_id string, settles boolean, request struct<requester:string,created_at:timestamp,severity:string,cancelled:boolean>, "
+        "decisions array<struct<decided_at:timestamp,decision:string,justification:string,decider:string,decided_via:string>>"
     )
-    within = F.expr(
-        f"approval_id = decided_id AND decided_at >= created_at "
-        f"AND decided_at < created_at + INTERVAL {expiry_seconds} SECONDS"
+    told = both.withWatermark("at", late).groupBy("approval_id").transformWithState(
+        statefulProcessor=_Ledger(expiry_seconds * 1000, keep_seconds * 1000), outputStructType=out, outputMode="Append", timeMode="EventTime",
+    )
+    r = F.col("request")
+
+    def judged(d):
+        return refusal_code(r.isNotNull(), r["requester"], r["created_at"], r["severity"], d["decider"], d["decided_via"], d["decided_at"], expiry_seconds, cooldown_seconds)
+
+    counted = F.array_min(F.transform(F.filter("decisions", lambda d: judged(d).isNull()), lambda d: F.struct(d["decided_at"].alias("decided_at"), d["decision"].alias("decision"), d["justification"].alias("justification"))))
+    refused = F.array_sort(F.array_compact(F.transform("decisions", lambda d: F.when(judged(d).isNotNull(), F.struct(d["decided_at"].alias("decided_at"), judged(d).alias("refusal"))))))
+    status = F.when(~F.col("settles"), None).when(r["cancelled"], "cancelled").otherwise(F.coalesce(F.col("__counted")["decision"], F.lit("expired")))
+    return told.withColumn("__counted", counted).select(
+        "approval_id", status.alias("status"), F.when(F.col("settles"), F.col("__counted")["justification"]).alias("justification"), refused.alias("refusals"),
     )
-    joined = r.join(d, within, "left_outer")
-    return joined.withColumn("status", F.coalesce("decision", F.lit("expired"))).drop("decided_id")
 
 
 def distinct_request_stream(
