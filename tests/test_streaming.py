@@ -22,6 +22,15 @@ def calls(spark, tmp_path_factory):
     return folder, spark.read.parquet(folder)
 
 
+@pytest.fixture
+def rocksdb(spark):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield
+    spark.conf.set(name, before)
+
+
 def drain(spark, stream, name, tmp_path):
     query = (stream.writeStream.outputMode("append").format("memory").queryName(name)
              .option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start())
@@ -57,7 +66,7 @@ def test_health(spark, calls, tmp_path):
     assert rows(drain(spark, stream, "health", tmp_path), *cols) == rows(batch, *cols)
 
 
-def test_sessions(spark, calls, tmp_path):
+def test_sessions(spark, rocksdb, calls, tmp_path):
     """The stream has every session but those its watermark still holds open."""
     cols = ["key", "first_ms", "last_ms", "turns", "risk"]
     batch = rows(sessions.sessions(calls[1], "key", "ts", "risk"), *cols)
@@ -67,13 +76,38 @@ def test_sessions(spark, calls, tmp_path):
     assert all(r[2] > last - 7_200_000 - 600_000 for r in set(batch) - set(got))
 
 
-def test_distinct_requests(spark, calls, tmp_path):
-    stream = source(spark, calls).withColumn("hash", (F.col("seq") % 5).cast("string"))
-    out = drain(spark, state.distinct_request_stream(stream, "hash", "ts", 86_400 * 400), "distinct", tmp_path)
-    assert out.count() == 5
+def test_distinct_requests(spark, rocksdb, calls, tmp_path):
+    def hashed(df):
+        return df.withColumn("hash", (F.col("seq") % 5).cast("string"))
+
+    batch = approvals.distinct_requests(hashed(calls[1]), "hash", "ts", "seq", 86_400)
+    stream = state.distinct_request_stream(hashed(source(spark, calls)), "hash", "ts", "seq", 86_400)
+    got = rows(drain(spark, stream, "distinct", tmp_path), "seq", "duplicate")
+    assert got == rows(batch, "seq", "duplicate") and sum(not d for _, d in got) > 20
+
+
+def test_sessions_with_resets(spark, rocksdb, tmp_path):
+    hour, turns, resets = 3_600_000, [], []
+    for key in (1, 2, 3):
+        at = 1_000 * hour
+        for i in range(40):
+            at += [600_000, 60_000, 3 * hour, 1_000][(i * key) % 4]
+            turns.append((key, at, (i % 10) / 10))
+            if i % 9 == key:
+                resets.append((key, at + (0 if i % 2 else 500)))
+    frames = [spark.createDataFrame(turns, "key long, at long, risk double"), spark.createDataFrame(resets, "key long, at long")]
+    frames = [df.select("*", F.timestamp_millis("at").alias("ts")) for df in frames]
+    end = spark.createDataFrame([(9, 2_000 * hour, 0.0)], "key long, at long, risk double").select("*", F.timestamp_millis("at").alias("ts"))
+    for name, parts in (("t", [frames[0], end]), ("r", [frames[1]])):
+        for part in parts:
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    streams = [spark.readStream.schema(df.schema).parquet(str(tmp_path / name)) for df, name in zip(frames, "tr")]
+    cols = ("key", "first_ms", "last_ms", "turns", "risk")
+    got = rows(drain(spark, state.session_stream(streams[0], "key", "ts", "risk", "1 minute", 7_200, streams[1]), "resets", tmp_path), *cols)
+    assert got == rows(sessions.sessions(frames[0], "key", "ts", "risk", frames[1], 7_200), *cols) and len(got) > 30
 
 
-def test_approvals(spark, tmp_path):
+def test_approvals(spark, rocksdb, tmp_path):
     """The stream tells what the batch ledger says: statuses, justifications and the code of every refusal."""
     minute, rows_r, rows_d = 60_000, [], []
     for i in range(120):
@@ -92,13 +126,7 @@ def test_approvals(spark, tmp_path):
         for part in parts:
             part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
         sources.append(spark.readStream.schema(parts[0].schema).parquet(str(tmp_path / name)))
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        told = drain(spark, state.approval_stream(*sources, late="1 minute"), "approvals", tmp_path).collect()
-    finally:
-        spark.conf.set(provider, before)
+    told = drain(spark, state.approval_stream(*sources, late="1 minute"), "approvals", tmp_path).collect()
     batch = approvals.approval_states(frames[0], frames[1], "1970-01-09 18:00:00").collect()
     assert {r.approval_id: (r.status, r.justification) for r in told if r.status} == {r.approval_id: (r.status, r.justification) for r in batch}
     refused = approvals.decision_refusals(frames[0], frames[1]).where("refusal IS NOT NULL").collect()

@@ -100,19 +100,57 @@ def health_stream(
     )
 
 
+class _Sessions(StatefulProcessor):
+    """The session that a key is in: told when it has been idle for long enough, or at a reset."""
+
+    def __init__(self, idle_ms: int):
+        self.idle_ms = idle_ms
+
+    def init(self, handle) -> None:
+        self.session = handle.getValueState("session", "first_ms long, last_ms long, turns long, milli_risk long")
+        self.handle = handle
+
+    def _told(self, key, session) -> Row:
+        return Row(key=key[0], first_ms=session[0], last_ms=session[1], turns=session[2], risk=session[3] / 1000)
+
+    def handleInputRows(self, key, rows, timerValues):
+        session = self.session.get() if self.session.exists() else None
+        for ms, turn, milli_risk in sorted((r["ms"], r["turn"], r["milli_risk"]) for r in rows):  # a reset before a turn of its time
+            if session is not None and (not turn or ms - session[1] >= self.idle_ms):
+                yield self._told(key, session)
+                session = None
+            if turn:
+                session = (ms, ms, 1, milli_risk) if session is None else (session[0], ms, session[2] + 1, session[3] + milli_risk)
+        if session is None:
+            self.session.clear()
+        else:
+            self.session.update(session)
+            self.handle.registerTimer(session[1] + self.idle_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        session = self.session.get() if self.session.exists() else None
+        if session is not None and session[1] + self.idle_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            yield self._told(key, session)
+            self.session.clear()
+
+    def close(self) -> None:
+        pass
+
+
 def session_stream(
-    turns: DataFrame, key: str, ts: str, risk: str, late: str = "10 minutes", idle_seconds: int = fixed.SESSION_IDLE_SECONDS
+    turns: DataFrame, key: str, ts: str, risk: str, late: str = "10 minutes", idle_seconds: int = fixed.SESSION_IDLE_SECONDS,
+    resets: DataFrame | None = None,
 ) -> DataFrame:
-    """Sessions that ended: turns and risk of each, once the watermark has passed its idle time."""
-    timed = turns.withColumn("__ts", F.col(ts).cast("timestamp")).withWatermark("__ts", late)
-    window = F.session_window("__ts", f"{idle_seconds} seconds")
-    built = timed.groupBy(F.col(key).alias("key"), window.alias("w")).agg(
-        F.count(F.lit(1)).alias("turns"),
-        (F.sum(F.round(F.col(risk) * 1000).cast("long")) / 1000).alias("risk"),
-    )
-    return built.select(
-        "key", F.unix_millis("w.start").alias("first_ms"),
-        (F.unix_millis("w.end") - idle_seconds * 1000).alias("last_ms"), "turns", "risk",
+    """Sessions that ended, by idle time or a reset: key, first_ms, last_ms, turns, risk.
+
+    Turns and resets are one stream of events. The state store must be RocksDB, as event timers need it.
+    """
+    kind = dict(turns.dtypes)[key]
+    own = turns.select(F.col(key).alias("key"), F.col(ts).cast("timestamp").alias("at"), millis(F.col(ts)).alias("ms"), F.lit(True).alias("turn"), F.round(F.col(risk) * 1000).cast("long").alias("milli_risk"))
+    if resets is not None:
+        own = own.unionByName(resets.select(F.col(key).alias("key"), F.col(ts).cast("timestamp").alias("at"), millis(F.col(ts)).alias("ms"), F.lit(False).alias("turn"), F.lit(0).cast("long").alias("milli_risk")))
+    return own.withWatermark("at", late).groupBy("key").transformWithState(
+        statefulProcessor=_Sessions(idle_seconds * 1000), outputStructType=f"key {kind}, first_ms long, last_ms long, turns long, risk double", outputMode="Append", timeMode="EventTime",
     )
 
 
@@ -219,9 +257,43 @@ def approval_stream(
     )
 
 
+class _Openings(StatefulProcessor):
+    """When the window of a content was opened; forgotten once the window has passed."""
+
+    def __init__(self, width_ms: int):
+        self.width_ms = width_ms
+
+    def init(self, handle) -> None:
+        self.opened = handle.getValueState("opened", "ms long")
+        self.handle = handle
+
+    def handleInputRows(self, key, rows, timerValues):
+        opened = self.opened.get()[0] if self.opened.exists() else None
+        for ms, seq in sorted((r["ms"], r["seq"]) for r in rows):
+            opens = opened is None or ms - opened >= self.width_ms
+            opened = ms if opens else opened
+            yield Row(hash=key[0], seq=seq, duplicate=not opens)
+        self.opened.update((opened,))
+        self.handle.registerTimer(opened + self.width_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.opened.exists() and self.opened.get()[0] + self.width_ms <= expiredTimerInfo.getExpiryTimeInMs():
+            self.opened.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
 def distinct_request_stream(
-    requests: DataFrame, hash_col: str, ts: str, window_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS
+    requests: DataFrame, hash_col: str, ts: str, seq: str, window_seconds: int = fixed.APPROVAL_EXPIRY_SECONDS, late: str = "5 minutes"
 ) -> DataFrame:
-    """The first request of each content; repeats within the window are dropped."""
-    timed = requests.withColumn(ts, F.col(ts).cast("timestamp"))
-    return timed.withWatermark(ts, f"{window_seconds} seconds").dropDuplicatesWithinWatermark([hash_col])
+    """Each request with ``duplicate``, as the batch job gives it: hash, seq, duplicate.
+
+    The state store must be RocksDB, as event timers need it.
+    """
+    kind = dict(requests.dtypes)[seq]
+    own = requests.select(F.col(hash_col).alias("hash"), F.col(ts).cast("timestamp").alias("at"), millis(F.col(ts)).alias("ms"), F.col(seq).alias("seq"))
+    return own.withWatermark("at", late).groupBy("hash").transformWithState(
+        statefulProcessor=_Openings(window_seconds * 1000), outputStructType=f"hash string, seq {kind}, duplicate boolean", outputMode="Append", timeMode="EventTime",
+    )
