@@ -549,13 +549,13 @@ FROM {orders}
 """
 
 
-@check("e13_u2_scan_mixed", "WITH " + duck_view("v", MIXED) + ", " + values("map", ["scan_type", "tool"], fixed.TYPE_TO_TOOL) + f""" SELECT tool, error, blocked, threat_type, count(*) AS n FROM (SELECT coalesce(tool, '') AS tool,
-  CASE WHEN tool IS NULL THEN 'Unknown scan type: mystery. Valid types: {", ".join(t for t, _ in fixed.TYPE_TO_TOOL)}' WHEN scan_type IN ('sql_query', 'web_search') AND query = '' THEN 'query is required'
-    WHEN scan_type = 'command' AND command IS NULL THEN 'command is required' WHEN scan_type IN ('prompt', 'file_write') AND content = '' THEN 'content is required' WHEN scan_type = 'agent_card' THEN 'Tool ''scan_agent_card'' is not enabled' ELSE '' END AS error,
-  CASE scan_type WHEN 'sql_query' THEN query LIKE 'drop%' WHEN 'command' THEN command LIKE 'rm%' WHEN 'prompt' THEN content LIKE 'ignore%' WHEN 'a2a_message' THEN message LIKE '123%' WHEN 'threat_intel' THEN false ELSE false END AS bad, scan_type FROM v LEFT JOIN map USING (scan_type)) x,
-  LATERAL (SELECT error <> '' OR bad AS blocked, CASE WHEN error = '' AND bad THEN CASE scan_type WHEN 'sql_query' THEN 'destructive_operation' WHEN 'command' THEN 'destructive_operation' WHEN 'prompt' THEN 'prompt_injection' ELSE 'pii_exposure' END ELSE '' END AS threat_type) GROUP BY ALL""")
+@check("e13_u2_scan_mixed", "WITH " + duck_view("v", MIXED) + ", " + values("map", ["scan_type", "tool"], fixed.TYPE_TO_TOOL) + f""" SELECT row_id, tool, error, blocked, threat_type FROM (SELECT row_id, coalesce(tool, '') AS tool,
+  CASE WHEN tool IS NULL THEN 'Unknown scan type: mystery. Valid types: {", ".join(t for t, _ in fixed.TYPE_TO_TOOL)}' WHEN scan_type = 'file_write' THEN 'Tool ''scan_file_write'' is not enabled' WHEN scan_type IN ('sql_query', 'web_search') AND query = '' THEN 'query is required'
+    WHEN scan_type = 'command' AND command IS NULL THEN 'command is required' WHEN scan_type = 'prompt' AND content = '' THEN 'content is required' ELSE '' END AS error,
+  CASE scan_type WHEN 'sql_query' THEN query LIKE 'drop%' WHEN 'command' THEN command LIKE 'rm%' WHEN 'prompt' THEN content LIKE 'ignore%' WHEN 'a2a_message' THEN message LIKE '123%' WHEN 'agent_card' THEN true ELSE false END AS bad, scan_type FROM v LEFT JOIN map USING (scan_type)) x,
+  LATERAL (SELECT error <> '' OR bad AS blocked, CASE WHEN error = '' AND bad THEN CASE scan_type WHEN 'sql_query' THEN 'destructive_operation' WHEN 'command' THEN 'destructive_operation' WHEN 'prompt' THEN 'prompt_injection' WHEN 'agent_card' THEN 'blocked_domain' ELSE 'pii_exposure' END ELSE '' END AS threat_type)""")
 def e13(spark, d):
-    on = [t for t in fixed.TOOLS if t != "scan_agent_card"]
+    on = [t for t in fixed.TOOLS if t != "scan_file_write"]
     out = jobs.scan(spark_view(spark, d, MIXED), on)
-    return out.select(F.coalesce("tool", F.lit("")).alias("tool"), F.coalesce("error", F.lit("")).alias("error"), F.coalesce("blocked", F.lit(False)).alias("blocked"),
-                      F.coalesce("threat_type", F.lit("")).alias("threat_type")).groupBy("tool", "error", "blocked", "threat_type").agg(F.count(F.lit(1)).alias("n"))
+    return out.select("row_id", F.coalesce("tool", F.lit("")).alias("tool"), F.coalesce("error", F.lit("")).alias("error"), F.coalesce("blocked", F.lit(False)).alias("blocked"),
+                      F.coalesce("threat_type", F.lit("")).alias("threat_type"))
