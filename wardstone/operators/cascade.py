@@ -178,14 +178,19 @@ def _hits_sql(rules: list[Rule]) -> str:
 
 
 def _folded(df: DataFrame, keep: list[str], rules: list[Rule], views: str, found: str, decided: str, enough: float) -> DataFrame:
-    """Adds to the findings those of the views, layer by layer, until a layer decides."""
-    new = f"filter(concat(v.more, {_hits_sql(rules)}), n -> NOT exists(a.found, f -> f.policy_id = n.policy_id AND f.location <=> n.location))"
+    """Adds to the findings those of the views, layer by layer, until a layer decides.
+
+    The rules run in a step before the fold: analysis takes long over rules within several lambdas.
+    """
+    hits = F.expr(f"transform(`{views}`, v -> struct(v.layer AS layer, concat(v.more, {_hits_sql(rules)}) AS new))")
+    df = computed(df, keep, F.when(F.size(views) > 0, hits).alias("__hits"))
+    new = "filter(v.new, n -> NOT exists(a.found, f -> f.policy_id = n.policy_id AND f.location <=> n.location))"
     state = f"struct(concat(a.found, n) AS found, coalesce(a.decided, if(exists(n, x -> x.confidence >= {enough}D), v.layer, NULL)) AS decided)"
     sql = (
-        f"aggregate(`{views}`, struct(`{found}` AS found, `{decided}` AS decided), "
+        f"aggregate(`__hits`, struct(`{found}` AS found, `{decided}` AS decided), "
         f"(a, v) -> if(a.decided IS NOT NULL AND a.decided <> v.layer, a, aggregate(array({new}), a, (a, n) -> {state})))"
     )
-    df = df.withColumn("__state", F.when(F.size(views) > 0, F.expr(sql)))
+    df = df.withColumn("__state", F.expr(sql))
     rest = [c for c in keep if c not in (found, decided)]
     return computed(
         df, rest, F.coalesce("__state.found", found).alias(found), F.coalesce("__state.decided", decided).alias(decided),
