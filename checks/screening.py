@@ -92,12 +92,12 @@ _WORD_PAIRS = """words AS (SELECT doc_id, regexp_extract_all(translate(text, 'AB
 def b1_table(spark, d):
     docs = table(spark, d, "documents", "doc_id", "text")
     words = F.regexp_extract_all(F.lower("text"), F.lit("([a-z0-9_]+)"), F.lit(1))
-    pairs = docs.select("doc_id", words.alias("w")).select(
-        "doc_id", F.explode(F.array_distinct(F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.struct(a.alias("a"), b.alias("b"))))).alias("p"))
+    pair = F.zip_with(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), F.slice("w", 2, F.size("w")), lambda a, b: F.concat_ws(" ", a, b))
+    pairs = docs.select("doc_id", words.alias("w")).select("doc_id", F.explode(F.array_distinct(pair)).alias("p"))
     shared = pairs.groupBy("p").agg(F.count(F.lit(1)).alias("n")).where("n BETWEEN 2 AND 3")
     rules = shared.select(
-        F.concat_ws(" ", F.lit("pair"), "p.a", "p.b").alias("rule_id"), F.lit("context_poisoning").alias("threat_type"), F.lit("medium").alias("severity"), F.lit(0.7).alias("confidence"),
-        F.concat(F.lit(r"\b"), "p.a", F.lit(r"[^a-z0-9_]+"), "p.b", F.lit(r"\b")).alias("pattern"))
+        F.concat_ws(" ", F.lit("pair"), "p").alias("rule_id"), F.lit("context_poisoning").alias("threat_type"), F.lit("medium").alias("severity"), F.lit(0.7).alias("confidence"),
+        F.concat(F.lit(r"\b"), F.substring_index("p", " ", 1), F.lit(r"[^a-z0-9_]+"), F.substring_index("p", " ", -1), F.lit(r"\b")).alias("pattern"))
     return rule_rows(apply_rule_table(docs.withColumnRenamed("doc_id", "row_id"), "text", rules), "row_id")
 
 

@@ -76,6 +76,18 @@ def test_rule_table_of_many_rules(spark):
     assert got == expected and got[40]
 
 
+def test_large_rule_tables_do_not_read_texts_once_for_each_block(spark, monkeypatch):
+    made, found = [], rule_table._found
+    monkeypatch.setattr(rule_table, "_found", lambda rows, location: made.append(len(rows)) or found(rows, location))
+    texts = [f"the word{i} and  other{i % 7}, end" for i in range(50)] * 3 + ["x" * 50 + f"y{i}" for i in range(5)] + [None, ""]
+    patterns = [(f"r{i:03}", rf"\bword{i}\s+and\s+other\d") for i in range(200)] + [(f"s{i}", "x" * 40 + f"y{i}") for i in range(5)] + [("r003", r"\bword3\b"), ("t", r"\d,")]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    out = apply_rule_table(df, "text", rules_of(spark, patterns), block_bytes=500)  # some 40 blocks
+    assert made == [1]  # the pattern without a literal; no function for each block
+    expected = {i: sorted(k for k, p in patterns if t and re.search(p, t, re.ASCII | re.IGNORECASE)) for i, t in enumerate(texts)}
+    assert hits(out) == expected and expected[3] == ["r003", "r003", "t"] and expected[154] == ["s4"]
+
+
 # Exemplars
 
 
