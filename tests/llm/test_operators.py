@@ -224,6 +224,16 @@ def test_encoder_forgets_and_chunks(monkeypatch):
     assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_keeps_frequent_words(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 8)
+    encoder = packing.Encoder(VOCABULARY)
+    texts = ["common " + "x" * i for i in range(1, 40)]
+    assert all(np.frombuffer(encoder.encode(t), dtype="<u4").tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts)
+    assert "common" in encoder.known or "common" in encoder.known.older
+    assert len(encoder.known) <= 4 and len(encoder.known.older) <= 4
+    assert packing._encoder(VOCABULARY) is packing._encoder(VOCABULARY)
+
+
 def test_packing_takes_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK_ROWS", 2)
     out = packing.packed(odd.docs(spark), VOCABULARY).collect()

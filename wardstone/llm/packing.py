@@ -23,6 +23,7 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ CAPACITY = 4096
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 #: Words that are kept with their ids, the bytes they may take together, and the longest that is kept.
-CACHED_WORDS, CACHED_BYTES, LONGEST_CACHED = 200_000, 8 << 20, 100
+CACHED_WORDS, CACHED_BYTES, LONGEST_CACHED = 400_000, 16 << 20, 100
 BLOCK_ROWS = 50_000
 CHUNK = 1 << 20
 
@@ -57,6 +58,30 @@ _SHOWN = {b: 256 + i for i, b in enumerate(_HIDDEN)}
 _GAP = re.compile("[ \t\n\r]")
 
 
+class _Words(dict):
+    """The ids of words, as little-endian bytes; a word that is not known is learnt when it is asked for.
+
+    Two halves of bounded size: a full half becomes the older one, of which words that are asked for again come back.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenize, self.bytes, self.older = tokenizer.model.tokenize, 0, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            shown = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(_SHOWN)
+            ids = [x.id for x in self.tokenize(shown)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        if len(word) <= LONGEST_CACHED:
+            if len(self) >= CACHED_WORDS // 2 or self.bytes + len(word) + len(found) > CACHED_BYTES // 2:
+                self.older, self.bytes = dict(self), 0
+                self.clear()
+            self[word] = found
+            self.bytes += len(word) + len(found)
+        return found
+
+
 class Encoder:
     """Token ids of whole texts as little-endian bytes. The ids of a word do not depend on its neighbours, so words are
     encoded once and kept, up to a bound."""
@@ -66,32 +91,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.bytes = 0
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """The ids of the words that are not known; those that are kept are known from then on."""
-        tokenize, new = self.tokenizer.model.tokenize, {}
-        for word in words:
-            if word not in self.known:
-                ids = [x.id for x in tokenize(word.encode().decode("latin-1").translate(_SHOWN))]
-                new[word] = struct.pack(f"<{len(ids)}I", *ids)
-        kept = {word: ids for word, ids in new.items() if len(word) <= LONGEST_CACHED}
-        size = sum(len(word) + len(ids) for word, ids in kept.items())
-        if len(self.known) + len(kept) > CACHED_WORDS or self.bytes + size > CACHED_BYTES:
-            new, self.known, self.bytes = self.known | new, {}, 0
-        if len(kept) <= CACHED_WORDS and size <= CACHED_BYTES:
-            self.known.update(kept)
-            self.bytes += size
-        return new
+        self.known = _Words(self.tokenizer)
 
     def simple(self, text: str) -> bytes:
-        words = _WORD.findall(text)
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            new = self.learn(set(words))
-            return b"".join([new[w] if w in new else self.known[w] for w in words])
+        return b"".join(map(self.known.__getitem__, _WORD.findall(text)))
 
     def encode(self, text: str) -> bytes:
         if _OTHER.search(text):
@@ -105,9 +108,15 @@ class Encoder:
         return b"".join(out)
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a process, which go on with the words that it knows."""
+    return Encoder(path)
+
+
 def _pieces(path: str, capacity: int):
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         end = np.array([END], dtype="<u4").tobytes()
         for batch in pieces(batches):
             rows = []
