@@ -87,6 +87,38 @@ def test_top_k_equals_brute_force(spark, cell_rows, bin_rows):
         assert [x[1:] for x in sorted(each)] == best(values, np.arange(900), query, 7)
 
 
+@pytest.mark.parametrize("scale", [1, 1 << 14])
+def test_blocks_of_queries_have_the_best_rows_and_open_few_pages(scale):
+    values = clustered(6000, centres=60, spread=4).astype(float) * scale
+    tree, ids = mtree.build(np.arange(6000), values), np.arange(6000)
+    most = float((values**2).sum(1).max())
+    single = tree.values.astype(np.float32) if vectors.single(most) is np.float32 else None
+    assert (single is None) == (scale > 1)
+    own = np.arange(0, 6000, 97)
+    own = own[np.lexsort(values[own].T)]
+    spent = 0
+    for begin in range(0, len(own), 2):  # blocks of near queries
+        at = own[begin : begin + 2]
+        asked = mtree.Asked(at, values[at], 5, np.full(len(at), -np.inf))
+        mtree.best_of_block(tree, asked, None, single)
+        again = mtree.Asked(at, values[at], 5, asked.least)
+        spent += mtree.best_of_block(tree, again, None, single)
+        for i, query in enumerate(at):
+            wanted = best(values, ids, query, 5)
+            for one in (asked, again):
+                assert sorted((-s, v) for s, v in zip(one.score[one.at == i].tolist(), one.vec_id[one.at == i].tolist())) == wanted
+        assert mtree.best_of_block(tree, again, np.zeros(0, np.int64), single) == 0
+    assert spent < 0.5 * 6000 * len(own)
+
+
+def test_search_takes_no_blocks_of_queries_for_a_small_table(spark):
+    """Spark reckoned packed rows by the bytes of a column's file, and sent them all to the driver to broadcast them."""
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(clustered(900).tolist())], "vec_id long, v array<bigint>")
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) > 0
+    plan = mtree.top_k(rows, F.col("vec_id") % 10 == 0, 3)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Broadcast" not in plan
+
+
 def odd_vectors(spark, empty=False):
     rows = [
         (0, [1.0, 2.0], 1), (0, [1.0, 2.0], 1), (1, None, 1), (2, [], 1), (3, [1.0, None], 1), (4, [float("nan"), 1.0], 1), (5, [float("inf"), 1.0], 1),
