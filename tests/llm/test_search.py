@@ -168,6 +168,24 @@ def test_hard_negatives_equal_brute_force(spark, monkeypatch, block, chunk):
     assert got == mined_plainly(rows) and len(got) > 100
 
 
+@pytest.mark.parametrize("spared", [0, 1 << 40])
+def test_hard_negatives_by_the_tree_or_in_products(spark, monkeypatch, spared):
+    """Both ways give the rows of plain Python, for lanes of many chunks too."""
+    for name, value in (("SPARED", spared), ("CHUNK", 64), ("TRIED", 10), ("BLOCK", 8), ("LANES_EACH", 0)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    values, draw = clustered(1200, seed=6), random.Random(2)
+    rows = [(i, draw.randrange(3), v) for i, v in enumerate(values.tolist())]
+    df = spark.createDataFrame(rows + rows[:40], "vec_id long, label int, v array<bigint>").repartition(4)
+    assert sorted(tuple(r) for r in hard_negatives.mined(df, F.col("vec_id") % 100 == 0).collect()) == mined_plainly(rows)
+
+
+def test_blocks_of_anchors_are_not_taken_for_a_small_table(spark):
+    """Spark broadcast a copy of each block for each lane, through the driver."""
+    rows = spark.createDataFrame([(i, i % 3, v) for i, v in enumerate(clustered(900).tolist())], "vec_id long, label int, v array<bigint>")
+    plan = hard_negatives.mined(rows, F.col("vec_id") % 10 == 0)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "Broadcast" not in plan
+
+
 def test_tree_bounds_spare_products_and_keep_the_windows():
     values = clustered(2000, seed=9, centres=40, spread=3).astype(float)
     anchors = values[:30] + np.arange(30)[:, None] % 3
