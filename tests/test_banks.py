@@ -4,10 +4,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from wardstone.operators import exemplars, rule_table, screen
+from wardstone.functions.literals import Needed, needed
+from wardstone.operators import exemplars, rule_index, rule_table, screen
 from wardstone.operators.rule_table import apply_rule_table
 from wardstone.sources import rules as packs
 
@@ -88,6 +90,39 @@ def test_large_rule_tables_do_not_read_texts_once_for_each_block(spark, monkeypa
     assert hits(out) == expected and expected[3] == ["r003", "r003", "t"] and expected[154] == ["s4"]
 
 
+SEPARATORS = [r"[^a-z0-9_]+", r"\s+", r"\W", "[-, ]+", r"\W+", r"[^a-z]+", r"\s*", " ", "[x ]"]
+
+
+def test_phrases_are_read_as_the_parser_reads_them():
+    read = 0
+    for lead, end, separator in ((a, b, c) for a in ("", r"\b") for b in ("", r"\b", "+") for c in SEPARATORS):
+        pattern = f"{lead}One{separator}t_2{end}"
+        if (one := rule_index.phrase(pattern)) is not None:
+            assert needed(pattern, spaces=True) == [Needed(frozenset([" ".join(one[1])]), (0, 0))]
+            read += 1
+    assert read == 2 * 2 * 5
+
+
+def test_phrases_in_a_large_table_find_what_the_expressions_find(spark, monkeypatch):
+    monkeypatch.setattr(rule_index, "SPAN", 60)
+    long = "word_of_" + "n" * 30
+    phrases = [("one", "two"), ("ne", "tw"), ("two",), ("e", "one"), (long, "two"), ("one", "two", "three")]
+    patterns = [(f"r{i:03}", lead + separator.join(p) + end) for i, (lead, end, separator, p) in enumerate((a, b, c, p) for a in ("", r"\b") for b in ("", r"\b") for c in SEPARATORS for p in phrases)]
+    texts = ["one two", "ONE, Two.", "xone twos", "one\u00e9two", "\u00e9one two\u00e9", "one  two one two", "one_two", f"a {long} two", f"{long} twox", "one two three", "two", "", None, "the one", "two one x one-two", "one1 two"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    expected = {i: [k for k, p in patterns if t and re.search(p.replace(r"\s", r"[\s\ufeff]"), t, re.ASCII | re.IGNORECASE)] for i, t in enumerate(texts)}
+    assert hits(apply_rule_table(df, "text", rules_of(spark, patterns), block_bytes=100)) == expected and all(expected[i] for i in (0, 1, 2, 3, 5, 7, 9))
+
+
+def test_phrases_are_not_compiled_one_by_one():
+    own = [{"rule": i, "rule_id": f"r{i}", "pattern": rf"\bw{i}[^a-z0-9_]+v{i}\b", "low": 0, "high": 0, "places": [2]} for i in range(500)]
+    before = rule_index.compiled.cache_info().misses
+    text, kind = pa.array(["a w7, v7 b", None, "a w8 v88"]), pa.list_(pa.struct([("rule", pa.int64()), ("rule_id", pa.string()), ("pattern", pa.string()), ("low", pa.int32()), ("high", pa.int32()), ("places", pa.list_(pa.int32()))]))
+    assert rule_index._matched(text, pa.array([own, own, own], kind)).to_pylist() == [[7], [], []]
+    assert rule_index._matched(text.slice(1), pa.array([own, own[8:], own[:9]], kind).slice(1)).to_pylist() == [[], []]
+    assert rule_index.compiled.cache_info().misses == before
+
+
 # Exemplars
 
 

@@ -3,7 +3,10 @@
 Rules are parsed where they lie. Each comes with a few sets of literals of which a match holds one each, and a literal with
 a hash of its first ``LONGEST`` bytes, its key. A bitmap of bounded size says in every task where in a text a key may
 begin; those keys, with their places, are what the texts send. A rule asks by the set whose keys stand in the fewest texts,
-so only rules that a text may match meet it, and the full expression then decides from those places on. Texts with equal
+so only rules that a text may match meet it, and the full expression then decides from those places on. Phrases, words with
+separators between them, are read without a parser and share one expression for all of one form, whose words are compared;
+so a hundred thousand of them need not be compiled again for each text. A phrase between word boundaries has a key of its
+own, which only places between word boundaries have. Texts with equal
 content are looked up once. Work and shuffles grow with the texts, the rules and the pairs that meet: no text is read once
 for each block of rules, and neither the rules nor what is made of them pass through the driver.
 """
@@ -19,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardstone.functions.literals import LOWER, needed, python_text
+from wardstone.functions.literals import LOWER, Needed, needed, python_text, separates
 from wardstone.sources.tables import cut
 
 #: Sets of a rule that are kept, bytes of a literal that its key is made of, bytes of the seed that is looked up first.
@@ -29,6 +32,9 @@ BITS_EACH, MOST_BITS, PART, SPAN = 32, 1 << 28, 1 << 18, 1 << 20
 #: How many texts with a bounded place are as costly as one that must be searched as a whole.
 SEARCHED = 16
 
+#: Tells the key of a literal between word boundaries from the key of the same literal anywhere.
+WHOLE = 0x5BD1E9955BD1E995
+
 _WORD = np.array([chr(b).isalnum() and b < 128 or b == 95 for b in range(256)])
 _VALUE = np.random.default_rng(20_240_301).integers(1, 1 << 63, 256, dtype=np.uint64)
 _FACTOR = 0x9E3779B97F4A7C15
@@ -44,8 +50,43 @@ def compiled(pattern: str) -> re.Pattern:
     return re.compile(python_text(pattern), re.ASCII | re.IGNORECASE)
 
 
+_SEPARATOR = r"(?:\[\^?[^\^\[\]\\][^\[\]\\]*\]|\\[sW])\+?"
+_PHRASE = re.compile(rf"(\\b)?([A-Za-z0-9_]+)((?:{_SEPARATOR}[A-Za-z0-9_]+)*)(\\b)?")
+_NEXT = re.compile(rf"({_SEPARATOR})([A-Za-z0-9_]+)")
+
+
+@lru_cache(maxsize=1 << 12)
+def _form(lead: str | None, separators: tuple[str, ...]) -> re.Pattern | None:
+    """The expression of all phrases of a form, with a group for each word; none where a separator could be part of a word."""
+    if not all(separates(x) for x in separators):
+        return None
+    return re.compile((lead or "") + "([a-z0-9_]+)" + "".join(python_text(x) + "([a-z0-9_]+)" for x in separators), re.ASCII | re.IGNORECASE)
+
+
+def phrase(pattern: str | None) -> tuple[re.Pattern, tuple[str, ...], bool, bool] | None:
+    """The form of a pattern that is a phrase, its words in lower case, whether the last one must end there, and whether the
+    first one must also begin there."""
+    found = _PHRASE.fullmatch(pattern) if pattern else None
+    if found is None:
+        return None
+    lead, first, rest, end = found.groups()
+    more = _NEXT.findall(rest)
+    form = _form(lead, tuple([x for x, _ in more]))
+    return None if form is None else (form, (first.lower(), *[word.lower() for _, word in more]), end is not None, end is not None and lead is not None)
+
+
+def _says(found: re.Match | None, words: tuple[str, ...], ends: bool) -> bool:
+    """Whether a match of a form has a phrase's words. Between separators a word is all there is, so no other match could."""
+    if found is None:
+        return False
+    said = tuple([x.lower() for x in found.groups()])
+    return said == words if ends else said[:-1] == words[:-1] and said[-1].startswith(words[-1])
+
+
 def matches(pattern: str, before: tuple[int, int] | None, text: str, places: list[int]) -> bool:
     """Whether a pattern matches, where its literal begins at one of the places, after so many characters of a match."""
+    if before == (0, 0) and (one := phrase(pattern)) is not None:
+        return any(_says(one[0].match(text, at), one[1], one[2]) for at in places)
     expression = compiled(pattern)
     if before is None:
         return expression.search(text) is not None
@@ -85,26 +126,36 @@ def _hashed(literals: list[bytes], salt: int = 0) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def _keys(literals: list[tuple[bytes, bool]]) -> dict[tuple[bytes, bool], int]:
+    """The key of each literal, given whether it stands between word boundaries."""
+    hashed = _hashed([x for x, _ in literals]) ^ np.where([whole for _, whole in literals], np.int64(WHOLE), np.int64(0))
+    return dict(zip(literals, hashed.tolist()))
+
+
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        bad, sets = [], []
+        bad, sets = [], []  # of each pattern its sets: the literals, whether they stand between word boundaries, what comes before
         for pattern in batch.column("pattern").to_pylist():
             try:
-                sets.append(needed(pattern, spaces=True)[:SETS])
+                if (one := phrase(pattern)) is not None:
+                    said = " ".join(one[1]).encode()
+                    sets.append([([(said[:LONGEST], one[3] and len(said) <= LONGEST)], (0, 0))])
+                else:
+                    sets.append([([(x.encode()[:LONGEST], False) for x in s.literals], s.before) for s in needed(pattern, spaces=True)[:SETS]])
                 bad.append(False)
             except (TypeError, re.error, OverflowError, RecursionError):
                 sets.append([])
                 bad.append(True)
-        literals = sorted({x.encode()[:LONGEST] for own in sets for s in own for x in s.literals})
-        key = dict(zip(literals, _hashed(literals).tolist()))
-        long = [x[:SEED] for x in literals if len(x) > SEED]
+        literals = sorted({x for own in sets for found, _ in own for x in found})
+        key = _keys(literals)
+        long = sorted({x[:SEED] for x, _ in literals if len(x) > SEED})
         seed = dict(zip(long, _hashed(long, 1).tolist()))
         rows, marks, sizes = [], [], []
         for own in sets:
-            found = {x.encode()[:LONGEST] for s in own for x in s.literals}
-            rows.append([{"keys": sorted({key[x.encode()[:LONGEST]] for x in s.literals}), "low": s.before[0] if s.before else None, "high": s.before[1] if s.before else None} for s in own])
-            marks.append([*(key[x] for x in found), *{seed[x[:SEED]] for x in found if len(x) > SEED}])
-            sizes.append(sorted({len(x) for x in found}))
+            found = {x for each, _ in own for x in each}
+            rows.append([{"keys": sorted({key[x] for x in each}), "low": before[0] if before else None, "high": before[1] if before else None} for each, before in own])
+            marks.append([*(key[x] for x in found), *{seed[x[:SEED]] for x, _ in found if len(x) > SEED}])
+            sizes.append(sorted({-len(x) if whole else len(x) for x, whole in found}))
         kinds = [pa.bool_(), pa.list_(pa.struct([("keys", pa.list_(pa.int64())), ("low", pa.int32()), ("high", pa.int32())])), pa.list_(pa.int64()), pa.list_(pa.int32())]
         more = [pa.array(c, k) for c, k in zip((bad, rows, marks, sizes), kinds)]
         yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, "bad", "sets", "marks", "sizes"])
@@ -129,29 +180,46 @@ def _bitmap(rules: DataFrame) -> np.ndarray:
 
 
 def _keys_found(marks: np.ndarray, sizes: list[int]):
-    """A function of batches (text_key, text): text_key, key, places of the keys that a text may hold."""
+    """A function of batches (text_key, text): text_key, key, places of the keys that a text may hold. sizes are those of
+    literals, those between word boundaries below 0."""
     mask = np.uint64(64 * len(marks) - 1)
+    whole, open_ = sorted(-n for n in sizes if n < 0), sorted(n for n in sizes if n > 0)
 
     def marked(h: np.ndarray) -> np.ndarray:
         first, second = h & mask, (h >> np.uint64(34)) & mask
         hit = (marks[first >> np.uint64(6)] >> (first & np.uint64(63))) & (marks[second >> np.uint64(6)] >> (second & np.uint64(63)))
         return (hit & np.uint64(1)).astype(bool)
 
-    def places(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def places(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, key, size = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        word = _WORD[data]
+        begins, ends = np.append(True, ~word), np.append(~word, True)  # a word may begin, or have ended, before a byte
+        begins[bounds] = ends[bounds] = True
         for begin in range(0, len(data), PART):
             part = data[begin : begin + PART + LONGEST]
             hashes, every = _Hashes(part), np.arange(min(PART, len(part)))
-            seeded = every[every + SEED <= len(part)]
-            seeded = seeded[marked(hashes.of(seeded, SEED, 1))] if sizes[-1] > SEED else seeded
-            for n in sizes:
-                own = every if n <= SEED else seeded
-                own = own[own + n <= len(part)]
-                h = hashes.of(own, n)
+
+            def seeds(own: np.ndarray, most: int) -> np.ndarray:
+                own = own[own + SEED <= len(part)]
+                return own[marked(hashes.of(own, SEED, 1))] if most > SEED else own
+
+            def found(own: np.ndarray, n: int, salt: int) -> None:
+                h = hashes.of(own, n) ^ np.uint64(salt)
                 hit = marked(h)
                 at.append(begin + own[hit])
                 key.append(h[hit])
                 size.append(np.full(len(at[-1]), n))
+
+            seeded = seeds(every, open_[-1]) if open_ else every
+            for n in open_:
+                own = every if n <= SEED else seeded
+                found(own[own + n <= len(part)], n, 0)
+            first = every[begins[begin : begin + len(every)]] if whole else every
+            seeded = seeds(first, whole[-1]) if whole else first
+            for n in whole:
+                own = first if n <= SEED else seeded
+                own = own[own + n <= len(part)]
+                found(own[ends[begin + own + n]], n, WHOLE)
         return np.concatenate(at), np.concatenate(key), np.concatenate(size)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +231,7 @@ def _keys_found(marks: np.ndarray, sizes: list[int]):
                 end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + SPAN, side="right")) - 1)
                 data, own = raw[bounds[begin] : bounds[end]], bounds[begin : end + 1] - bounds[begin]
                 spaced, byte, inner = spaced_bytes(LOWER[data], own)
-                at, key, size = places(spaced)
+                at, key, size = places(spaced, inner)
                 row = np.searchsorted(inner, at, side="right") - 1
                 inside = at + size <= inner[row + 1]
                 at, key, row = byte[at[inside]], key[inside].view(np.int64), row[inside]
@@ -181,22 +249,28 @@ def _keys_found(marks: np.ndarray, sizes: list[int]):
 
 def _matched(texts: pa.Array, rules: pa.Array) -> pa.Array:
     """Places, in the list of a text's candidates, of those that match: each rule once, by rule id and pattern."""
+    ends, every = rules.offsets.to_numpy().tolist(), rules.values
+    own = every.slice(ends[0], ends[-1] - ends[0])
+    rule, low, high = (own.field(name).fill_null(-1).to_numpy(zero_copy_only=False).tolist() for name in ("rule", "low", "high"))
+    rule_id, pattern = (own.field(name).to_numpy(zero_copy_only=False).tolist() for name in ("rule_id", "pattern"))
+    held = own.field("places")
+    first, places = held.offsets.to_numpy().tolist(), held.values.to_numpy(zero_copy_only=False).tolist()
     out = []
-    for text, own in zip(texts, rules):
+    for k, text in enumerate(texts):
         found: dict[int, tuple] = {}
-        if text.is_valid and own.is_valid and len(own.values):
-            whole, of = text.as_py(), own.values
-            names = ("rule", "rule_id", "pattern", "low", "high", "places")
-            for i, (rule, rule_id, pattern, low, high, places) in enumerate(zip(*(of.field(name).to_pylist() for name in names))):
-                if rule not in found and matches(pattern, None if low is None else (low, high), whole, places):
-                    found[rule] = (rule_id or "None", pattern, rule, i)
+        begin, end = ends[k] - ends[0], ends[k + 1] - ends[0]
+        if begin < end and text.is_valid and rules[k].is_valid:
+            whole = text.as_py()
+            for i in range(begin, end):
+                if rule[i] not in found and matches(pattern[i], None if low[i] < 0 else (low[i], high[i]), whole, places[first[i] : first[i + 1]]):
+                    found[rule[i]] = (rule_id[i] or "None", pattern[i], rule[i], i - begin)
         out.append([x[-1] for x in sorted(found.values())])
     return pa.array(out, pa.list_(pa.int32()))
 
 
 def apply_index(df: DataFrame, text_col: str, rules: DataFrame, finding, out_col: str) -> DataFrame:
     """Adds the findings, made of a rule's columns by ``finding``, of parsed rules that all have sets of literals."""
-    sizes = sorted(r[0] for r in rules.select(F.explode("sizes")).distinct().collect())  # at most LONGEST
+    sizes = sorted(r[0] for r in rules.select(F.explode("sizes")).distinct().collect())  # at most twice LONGEST
     text_key = F.unhex(F.sha2(F.col(text_col), 256))
     texts = df.where(F.col(text_col).isNotNull()).select(text_key.alias("text_key"), F.col(text_col).cast("string").alias("text"))
     found = texts.mapInArrow(_keys_found(_bitmap(rules), sizes), "text_key binary, key long, places array<int>")
