@@ -177,3 +177,24 @@ def test_banks_of_odd_rows(spark):
     bank = spark.createDataFrame([(3, [2.0, 0.0]), (2, [1.0, 0.0]), (None, [1.0, 1.0]), (4, None)], "exemplar long, v array<double>")
     assert [tuple(r) for r in exemplars.nearest_exemplars(vectors, bank, "k", "v", 0.5).collect()] == [("a", 2, 1.0)]
     assert exemplars.nearest_exemplars(vectors, bank.where("false"), "k", "v", 0.5).collect() == []
+
+
+def test_packs_hold_many_blocks_and_lose_nothing(spark, monkeypatch):
+    """A pair of packs is read at once, where each block was read with each pack before; in either precision and where most are alike."""
+    monkeypatch.setattr(exemplars, "ROWS", 50)
+    draw = np.random.default_rng(8)
+    bank, rows = draw.standard_normal((3000, 8)).astype(np.float32), draw.standard_normal((300, 8)).astype(np.float32)
+    bank[1000:2500] = bank[7] + 1e-3 * draw.standard_normal((1500, 8)).astype(np.float32)
+    rows[:100] = bank[7]
+    for kind in ("float", "double"):
+        table = spark.createDataFrame([(i, v) for i, v in enumerate(bank.tolist())], f"exemplar long, v array<{kind}>").repartition(2)
+        vectors = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "k long, v array<float>")
+        packs, blocks = exemplars._packed_bank(table, "v").count(), exemplars.bank(table, "v").count()
+        assert packs <= 8 and blocks > 50
+        got = {r.k: (r.exemplar, r.similarity) for r in exemplars.nearest_exemplars(vectors, table, "k", "v", 0.5).collect()}
+        expected = nearest(rows.astype(float), bank.astype(float), 0.5)
+        assert got == expected and got[0] == (7, 1.0)
+    half = spark.createDataFrame([(1, [1.0, None]), (2, [0.0, 1.0])], "exemplar long, v array<float>")
+    assert [tuple(r) for r in exemplars.nearest_exemplars(spark.createDataFrame([("a", [3.0, None])], "k string, v array<float>"), half, "k", "v", 0.5).collect()] == [("a", 1, 1.0)]
+    with pytest.raises(Exception, match="differ in length"):
+        exemplars.nearest_exemplars(vectors, spark.createDataFrame([(1, [1.0]), (2, [0.0, 1.0])], "exemplar long, v array<float>").coalesce(1), "k", "v", 0.5).collect()
