@@ -182,3 +182,27 @@ def test_passages_take_odd_rows(spark):
     assert [(r["doc_id"], r["first_doc_id"]) for r in sorted(out)] == [(5, 5), (6, 5)]
     assert suffix_dedup.without(odd.docs(spark)).count() == 13
     assert suffix_dedup.repeats(odd.docs(spark, empty=True)).count() == 0
+
+
+def test_steps_of_near_dedup_leave_no_shuffle_files(spark):
+    """The files of all steps lay on the disks at once, until the driver collected its garbage."""
+    import gc
+    import time
+
+    def files():
+        return spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().size()
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i // 3 * 40 + j) % 97}" for j in range(30))) for i in range(60)], "doc_id long, text string").repartition(8)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(3)
+    before = files()
+    out = near_dedup.near_duplicates(docs, 2)
+    for _ in range(20):
+        if files() <= before + 40:
+            break
+        time.sleep(0.5)
+    assert files() <= before + 40 and spark.conf.get(name) == "false"
+    assert {r.doc_id: r.component_id for r in out.collect()} == {r.doc_id: r.component_id for r in out.collect()}
+    assert out.where("kept").count() < 60
