@@ -2,12 +2,12 @@
 
 The root level are cells round up to MOST_CELLS pivots; a cell's rows lie in bins of about BIN_ROWS, each a subtree of
 pages that one task builds and one row of the index holds. A page has a routing object, a covering radius and the
-distance of its routing object to its parent's; a row of a leaf has its distance to the leaf's routing object. Search
-takes the page with the highest bound first. The triangle inequality bounds an entry from the two stored distances alone
+distance of its routing object to its parent's; a row of a leaf has its distance to the leaf's routing object. For one
+query `best_first` takes the page with the highest bound first. The triangle inequality bounds an entry from the two stored distances alone
 before anything is computed for it, and what is left is bounded by its covering radius; pages below the k-th score so far
 are never opened. Subtrees lie in lanes of LANE values at most, and blocks of near queries stream past those whose bounds
-reach one of them: `best_of_block` opens a page for the queries of a block that its bounds let in, and scores the rows of
-its leaves in one product of matrices.
+reach one of them: `best_of_block` opens a page for the queries of a block that its bounds let in, by the floors that their
+own cells gave and what was found since, and scores the rows of neighbouring leaves in one product of matrices.
 
 For an object o, a radius r round it and the highest squared norm s of what lies there, a query q with d = |q - o| has no
 product above (|q|^2 + s - max(0, d - r)^2) / 2, nor above <q, o> + |q| r. Bounds are raised by SLACK for rounding; the
